@@ -148,7 +148,7 @@ SERVING = Contract(
     flight_id string, origin_airport string, destination_airport string, airline string,
     departure_datetime timestamp, arrival_datetime timestamp, cash_price double,
     currency string, points_required bigint, cpp_cents_per_point double, cabin_class string,
-    program string, award_type string, ingestion_timestamp timestamp, departure_date date
+    program string, award_type string, ingestion_timestamp timestamp, departure_month date
     """,
     key="flight_id",
 )

@@ -57,7 +57,7 @@ typed AS (SELECT flight_id, origin_airport, destination_airport, airline,
  try_cast(arrival_datetime AS timestamp) AS arrival_datetime, cash_price, currency, points_required,
  cpp_cents_per_point, cabin_class, program, award_type,
  try_cast(ingestion_timestamp AS timestamp) AS ingestion_timestamp,
- cast(try_cast(departure_datetime AS timestamp) AS date) AS departure_date FROM gold),
+ cast(date_trunc('month', try_cast(departure_datetime AS timestamp)) AS date) AS departure_month FROM gold),
 served AS (SELECT * FROM typed QUALIFY row_number() OVER (PARTITION BY flight_id
  ORDER BY ingestion_timestamp DESC NULLS LAST, origin_airport NULLS LAST, destination_airport NULLS LAST,
  airline NULLS LAST, departure_datetime NULLS LAST, arrival_datetime NULLS LAST, cash_price NULLS LAST,
@@ -72,7 +72,7 @@ SERVED_TEXT = f"""flight_id, origin_airport, destination_airport, airline,
  strftime(arrival_datetime, '{ISO}') AS arrival_datetime, cash_price, currency, points_required,
  cpp_cents_per_point, cabin_class, program, award_type,
  strftime(ingestion_timestamp, '{ISO}') AS ingestion_timestamp,
- cast(departure_date AS string) AS departure_date"""
+ cast(departure_month AS string) AS departure_month"""
 
 BY_CPP = "cpp_cents_per_point DESC NULLS LAST, flight_id"
 BY_PRICE = "cash_price ASC NULLS LAST, flight_id"

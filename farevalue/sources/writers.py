@@ -16,7 +16,6 @@ def overwrite_partitions(
     by: str,
     only_present: bool = False,
     rebalance: bool = True,
-    sort_by: tuple[str, ...] = (),
 ) -> None:
     """Replace a table that has one folder per value of ``by``.
 
@@ -28,8 +27,6 @@ def overwrite_partitions(
     """
     if rebalance:
         df = df.hint("rebalance", by)
-    if sort_by:
-        df = df.sortWithinPartitions(by, *sort_by)
     mode = "dynamic" if only_present else "static"
     (
         df.write.mode("overwrite")
@@ -39,6 +36,13 @@ def overwrite_partitions(
     )
 
 
+def overwrite_ranges(df: DataFrame, path: str, by: str, order: tuple[str, ...]) -> None:
+    """Replace a table that has one folder per value of ``by`` and whose rows are
+    range-partitioned and sorted by ``by`` and ``order``."""
+    ranged = df.repartitionByRange(by, *order).sortWithinPartitions(by, *order)
+    ranged.write.mode("overwrite").partitionBy(by).parquet(path)
+
+
 def write_documents(documents: DataFrame, path: str) -> None:
     """Write search documents as JSON lines."""
     documents.write.mode("overwrite").json(path, ignoreNullFields=False)
