@@ -6,6 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def nan_to_null(value: Column) -> Column:
+    return F.when(~F.isnan(value), value)
+
+
 def cents(amount: Column) -> Column:
     return amount * 100
 

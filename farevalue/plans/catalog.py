@@ -24,7 +24,7 @@ from farevalue.plans.medallion import Layout, run_job
 from farevalue.plans.star_schema import cash_fares, envelopes, single_fare_envelopes
 from farevalue.session import scratch_path
 from farevalue.sources.readers import read_serving, read_table
-from farevalue.sources.writers import overwrite_partitions
+from farevalue.sources.writers import overwrite, overwrite_partitions
 
 RUN = quality.Run("run-1", datetime(2026, 7, 1, tzinfo=timezone.utc))
 LOADED_AT = "2026-07-01T00:00:00+00:00"
@@ -64,6 +64,13 @@ def gold_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return value_fares(cash, price_awards(cash))
 
 
+def _stored(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table, for operators that read their input more than once."""
+    path = scratch_path(df.sparkSession, label)
+    overwrite(df, path)
+    return read_table(df.sparkSession, path)
+
+
 def served_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return publish.latest_per_key(publish.serving_rows(gold_fares(spark, sf_dir)))
 
@@ -307,7 +314,7 @@ rates AS ({sql.null_rates('drifted', 0.05, _ABSENT)})
 {_counted(f'SELECT * FROM found UNION ALL {_RATE_FLAG_COUNTS}')}"""
 )
 def q_schema_drift(spark, sf_dir):
-    drifted = _drifted(cash_fares(spark, sf_dir))
+    drifted = _stored(_drifted(cash_fares(spark, sf_dir)), "drifted")
     return _count_flags(quality.validate(drifted, GOLD, RUN.run_id, at=RUN.at).flags)
 
 
@@ -348,7 +355,8 @@ def q_null_rate_flags(spark, sf_dir):
 {_counted(f"{_all_flags('gold')} UNION ALL {_RATE_FLAG_COUNTS}")}"""
 )
 def q_validate_all(spark, sf_dir):
-    return _count_flags(quality.validate(gold_fares(spark, sf_dir), GOLD, RUN.run_id).flags)
+    gold = _stored(gold_fares(spark, sf_dir), "gold")
+    return _count_flags(quality.validate(gold, GOLD, RUN.run_id).flags)
 
 
 # Serving

@@ -19,13 +19,34 @@ SETTINGS = {
 }
 
 
-def build_session(app_name: str, master: str | None = None, **settings: str) -> SparkSession:
+# Bytes of input per shuffle partition, and the range of partition numbers.
+PARTITION_BYTES = 256 * 1024**2
+MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
+
+
+def shuffle_partitions(input_bytes: int) -> int:
+    """Partitions that keep a shuffle of ``input_bytes`` within executor memory.
+
+    AQE merges partitions that turn out small, but cuts only hot ones, so the number
+    to start from must fit the data.
+    """
+    return min(MAX_PARTITIONS, max(MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+
+
+def build_session(
+    app_name: str,
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **settings: str,
+) -> SparkSession:
     """Return a session with ``SETTINGS``; ``settings`` uses ``__`` for the dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
     for name, value in SETTINGS.items():
         builder = builder.config(name, value)
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
     for name, value in settings.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()

@@ -1,0 +1,112 @@
+import json
+
+from farevalue.contracts import BRONZE_CASH
+from farevalue.operators.enrich import add_flight_times
+from farevalue.operators.flatten import flatten_flown_fares, flatten_fares
+from farevalue.sources.readers import read_envelopes
+
+
+def leg(start, end):
+    return {"departure_time_utc": start, "arrival_time_utc": end}
+
+
+def fare(name, segments, amount=100, **more):
+    return {
+        "ignav_id": name,
+        "cabin_class": "economy",
+        "price": {"amount": amount, "currency": "USD"},
+        "outbound": {"carrier": "Delta", "segments": segments},
+        **more,
+    }
+
+
+TWO_LEGS = [
+    leg("2026-07-01T10:00:00Z", "2026-07-01T12:00:00Z"),
+    leg("2026-07-01T13:00:00Z", "2026-07-01T18:30:00Z"),
+]
+ENVELOPES = [
+    {
+        "origin": "LAX",
+        "destination": "JFK",
+        "departure_date": "2026-07-01",
+        "ingest_ts": "2026-06-24T23:30:00-05:00",
+        "response": {
+            "itineraries": [
+                fare("a", TWO_LEGS, id="known"),
+                fare("b", TWO_LEGS[:1], amount=99.5),
+                fare("c", []),
+                fare("d", None),
+            ]
+        },
+    },
+    {"origin": "LAX", "destination": "SFO", "ingest_ts": None, "response": {"itineraries": []}},
+    {"origin": "SFO", "destination": "JFK", "ingest_ts": None, "response": None},
+]
+
+
+def envelopes(spark, folder, multi_line=False):
+    lines = [json.dumps(e) for e in ENVELOPES]
+    text = json.dumps(ENVELOPES, indent=4) if multi_line else "\n".join(lines)
+    path = folder / "raw.json"
+    path.write_text(text)
+    return read_envelopes(spark, str(path), multi_line)
+
+
+def test_one_row_per_itinerary(spark, tmp_path):
+    rows = {r["flight_id"]: r for r in flatten_fares(envelopes(spark, tmp_path)).collect()}
+    assert sorted(rows) == ["a", "b", "c", "d"]
+    assert rows["a"]["departure_datetime"] == "2026-07-01T10:00:00Z"
+    assert rows["a"]["arrival_datetime"] == "2026-07-01T18:30:00Z"
+    assert rows["b"]["arrival_datetime"] == "2026-07-01T12:00:00Z"
+    assert rows["c"]["departure_datetime"] is None and rows["d"]["arrival_datetime"] is None
+    assert str(rows["a"]["ingestion_date"]) == "2026-06-24"
+
+
+def test_whole_amounts_are_read_as_double(spark, tmp_path):
+    flat = flatten_fares(envelopes(spark, tmp_path))
+    assert flat.columns == BRONZE_CASH.columns
+    assert flat.schema["cash_price"].dataType.simpleString() == "double"
+    assert BRONZE_CASH.drift(flat) == []
+
+
+def test_both_json_layouts_give_the_same_rows(spark, tmp_path):
+    (tmp_path / "l").mkdir()
+    (tmp_path / "m").mkdir()
+    lines = flatten_fares(envelopes(spark, tmp_path / "l")).collect()
+    array = flatten_fares(envelopes(spark, tmp_path / "m", multi_line=True)).collect()
+    assert sorted(lines) == sorted(array)
+
+
+def test_flown_form_skips_empty_itineraries_and_fills_ids(spark, tmp_path):
+    flat = flatten_flown_fares(envelopes(spark, tmp_path))
+    assert flat.columns == [
+        "flight_id",
+        "origin",
+        "destination",
+        "airline",
+        "departure_date",
+        "arrival_dt",
+        "price",
+        "currency",
+        "ingest_ts",
+    ]
+    rows = flat.orderBy("price").collect()
+    assert [r["price"] for r in rows] == [99.5, 100.0]
+    assert rows[1]["flight_id"] == "known"
+    assert len(rows[0]["flight_id"]) == 36
+
+
+def test_repeatable_ids_are_repeatable(spark, tmp_path):
+    raw = envelopes(spark, tmp_path)
+    first, again = (
+        {r["flight_id"] for r in flatten_flown_fares(raw, "id", repeatable_ids=True).collect()}
+        for _ in range(2)
+    )
+    assert first == again and len(first) == 2
+
+
+def test_flight_times_are_added_and_no_row_is_dropped(spark, tmp_path):
+    silver = add_flight_times(flatten_fares(envelopes(spark, tmp_path)))
+    minutes = {r["flight_id"]: r["flight_duration_minutes"] for r in silver.collect()}
+    assert minutes == {"a": 510.0, "b": 120.0, "c": None, "d": None}
+    assert silver.columns[-3:] == ["departure_ts", "arrival_ts", "flight_duration_minutes"]

@@ -1,0 +1,112 @@
+from datetime import date
+
+import pytest
+from farevalue.functions.money import cents_per_point, whole_points
+from farevalue.functions.text import cpp_text, first_filled, is_empty, money_text
+from farevalue.functions.time import (
+    calendar_day,
+    minutes_between,
+    parse_instant,
+    utc_day,
+    utc_iso_text,
+    utc_minute_text,
+)
+from pyspark.sql import functions as F
+
+ZONES = ["UTC", "America/New_York", "Asia/Kolkata"]
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first()["v"]
+
+
+@pytest.mark.parametrize("zone", ZONES)
+def test_utc_texts_do_not_depend_on_the_session_zone(spark, settings, zone):
+    settings("spark.sql.session.timeZone", zone)
+    at = parse_instant(F.lit("2026-03-08T07:30:00Z"))  # an hour that New York skips locally
+    assert value(spark, utc_minute_text(at)) == "2026-03-08 07:30 UTC"
+    assert value(spark, utc_iso_text(at)) == "2026-03-08T07:30:00+00:00"
+    late = parse_instant(F.lit("2026-07-01T23:59:59.5Z"))
+    assert value(spark, utc_day(late)) == date(2026, 7, 1)
+    assert value(spark, utc_iso_text(late)) == "2026-07-01T23:59:59.500000+00:00"
+
+
+@pytest.mark.parametrize("zone", ZONES)
+def test_duration_across_a_clock_change(spark, settings, zone):
+    settings("spark.sql.session.timeZone", zone)
+    start = parse_instant(F.lit("2026-03-08T04:00:00Z"))
+    end = parse_instant(F.lit("2026-03-08T11:00:00Z"))
+    assert value(spark, minutes_between(start, end)) == 420.0
+
+
+def test_offsets_before_1970_and_bad_times(spark):
+    assert value(spark, utc_iso_text(parse_instant(F.lit("1969-12-31T23:00:00.25+02:00")))) == (
+        "1969-12-31T21:00:00.250000+00:00"
+    )
+    assert value(spark, parse_instant(F.lit("not-a-time"))) is None
+    assert value(spark, parse_instant(F.lit(""))) is None
+
+
+def test_calendar_day_is_the_day_as_written(spark):
+    assert value(spark, calendar_day(F.lit("2026-07-01T23:30:00-08:00"))) == date(2026, 7, 1)
+    assert value(spark, calendar_day(F.lit("July"))) is None
+
+
+@pytest.mark.parametrize(
+    "text, empty", [(None, True), ("", True), ("   ", True), ("\t", False), ("x", False)]
+)
+def test_empty_text(spark, text, empty):
+    row = spark.range(1).select(F.lit(text).cast("string").alias("c"))
+    assert row.select(is_empty("c", text=True)).first()[0] is empty
+
+
+def test_only_null_is_an_empty_number(spark):
+    rows = spark.sql("SELECT * FROM VALUES (0L), (CAST(NULL AS BIGINT)) AS t(c)")
+    assert [r[0] for r in rows.select(is_empty("c", text=False)).collect()] == [False, True]
+
+
+def test_first_filled(spark):
+    names = ("a", "b", "c")
+    rows = spark.sql(
+        """SELECT * FROM VALUES ('', 'x', DATE '2026-07-01'), ('y', 'x', NULL),
+           (NULL, '', DATE '2026-07-02'), ('', NULL, NULL) AS t(a, b, c)"""
+    )
+    assert [r[0] for r in rows.select(first_filled(rows, names)).collect()] == [
+        "x",
+        "y",
+        "2026-07-02",
+        None,
+    ]
+    without = rows.drop("b", "c")
+    assert without.select(first_filled(without, names)).first()[0] is None
+    none = rows.select(F.lit(1).alias("z"))
+    assert none.select(first_filled(none, names)).first()[0] is None
+
+
+def test_cents_per_point(spark):
+    def cpp(amount, points):
+        return value(
+            spark, cents_per_point(F.lit(amount).cast("double"), F.lit(points).cast("bigint"))
+        )
+
+    assert cpp(320.0, 32000) == 1.0
+    assert cpp(10.05, 1000) == 1.01  # 1.005 as decimal text, half up
+    assert cpp(320.0, 0) is None
+    assert cpp(320.0, -5) is None
+    assert cpp(320.0, None) is None
+    assert cpp(None, 100) is None
+
+
+def test_points_round_half_to_even(spark):
+    assert value(spark, whole_points(1.0, F.lit(2.5))) == 2
+    assert value(spark, whole_points(1.0, F.lit(3.5))) == 4
+    assert value(spark, whole_points(8000.0, F.lit(2.0), F.lit(1.0), F.lit(1.1))) == 17600
+
+
+def test_display_texts(spark):
+    assert value(spark, money_text(F.lit("USD"), F.lit(1234.5))) == "USD 1,234.50"
+    assert value(spark, money_text(F.lit("USD"), F.lit(None).cast("double"))) is None
+    assert value(spark, cpp_text(F.lit(1.0))) == "1.00 cents"
+    assert value(spark, cpp_text(F.lit(1234.5))) == "1234.50 cents"
+    assert value(spark, cpp_text(F.lit(None).cast("double"))) == "Not available"
+    assert value(spark, cpp_text(F.lit(float("nan")))) == "Not available"

@@ -1,0 +1,72 @@
+import json
+
+from data import gold
+from farevalue.contracts import GOLD, METRICS, SERVING
+from farevalue.plans.medallion import STEPS, Layout, run_job
+from farevalue.plans.star_schema import single_fare_envelopes
+from farevalue.sources.readers import read_serving, read_table
+
+
+def raw_fares(spark, path, *changes):
+    single_fare_envelopes(gold(spark, *changes)).write.json(path)
+
+
+def test_steps_and_their_order():
+    assert [name for name, _ in STEPS] == [
+        "bronze-cash",
+        "silver-cash",
+        "bronze-award",
+        "gold-analytics",
+        "validate-gold",
+        "index-search",
+    ]
+
+
+def test_whole_job(spark, tmp_path):
+    layout = Layout(raw=str(tmp_path / "raw"), root=str(tmp_path / "tables"))
+    late = {"flight_id": "late", "arrival_datetime": "2026-07-01T09:00:00Z"}
+    raw_fares(spark, layout.raw, {}, late, {"flight_id": "dropped", "airline": None})
+    results = run_job(spark, layout)
+    assert [r.name for r in results if not r.ok] == []
+    assert len(results) == len(STEPS)
+    assert read_table(spark, layout.bronze_cash).count() == 3
+    assert "flight_duration_minutes" in read_table(spark, layout.silver_cash).columns
+    assert read_table(spark, layout.bronze_award).count() == 3
+    curated = read_table(spark, layout.gold)
+    assert GOLD.drift(curated) == [] and curated.count() == 2
+    flags = read_table(spark, layout.flags).collect()
+    assert [(r["flight_id"], r["check_name"]) for r in flags] == [("late", "INVALID_FLIGHT_TIMES")]
+    assert METRICS.drift(read_table(spark, layout.metrics)) == []
+    served = read_serving(spark, layout.serving)
+    assert SERVING.drift(served) == [] and served.count() == 2
+    assert results[-1].outcome.loaded == 2
+
+
+def test_the_job_ends_at_the_first_failure(spark, tmp_path):
+    layout = Layout(raw=str(tmp_path / "nowhere"), root=str(tmp_path / "tables"))
+    results = run_job(spark, layout)
+    assert [r.name for r in results] == ["bronze-cash"]
+    assert isinstance(results[0].error, FileNotFoundError)
+
+
+def test_a_day_can_be_reloaded_alone(spark, tmp_path):
+    root = str(tmp_path / "tables")
+    steps = STEPS[:1]
+    first = Layout(str(tmp_path / "r1"), root, keep_other_days=True)
+    second = Layout(str(tmp_path / "r2"), root, keep_other_days=True, one_day_files=True)
+    next_day = {"ingestion_timestamp": "2026-07-02T00:00:00Z"}
+    raw_fares(spark, first.raw, {}, {"flight_id": "f2", **next_day})
+    raw_fares(spark, second.raw, {"flight_id": "f3", **next_day})
+    for layout in (first, second):
+        assert run_job(spark, layout, steps)[0].ok
+    kept = read_table(spark, first.bronze_cash).select("flight_id").collect()
+    assert sorted(r[0] for r in kept) == ["f1", "f3"]
+
+
+def test_multi_line_input(spark, tmp_path):
+    raw_fares(spark, str(tmp_path / "lines"), {}, {"flight_id": "f2"})
+    rows = [json.loads(r[0]) for r in spark.read.text(str(tmp_path / "lines")).collect()]
+    (tmp_path / "array.json").write_text(json.dumps(rows, indent=4))
+    layout = Layout(str(tmp_path / "array.json"), str(tmp_path / "tables"), multi_line=True)
+    assert all(r.ok for r in run_job(spark, layout, STEPS[:2]))
+    assert read_table(spark, layout.silver_cash).count() == 2

@@ -1,0 +1,109 @@
+import itertools
+
+import pytest
+from data import FARE, gold, plan_of
+from farevalue.contracts import AWARD, literal_rows
+from farevalue.operators import pricing
+from farevalue.operators.pricing import RateCard, add_points, look_up, price_awards
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+
+def test_award_columns_and_constants(spark):
+    priced = price_awards(gold(spark, {}).drop("points_required"))
+    row = priced.first()
+    assert priced.columns == AWARD.columns
+    assert AWARD.drift(priced) == []
+    assert row["points_required"] == 19200
+    assert (row["program"], row["award_type"]) == ("synthetic_generic", "points")
+    assert row["ingestion_timestamp"] == FARE["ingestion_timestamp"]
+
+
+def test_every_combination_of_rules(spark):
+    """Points against the rule written out as plain arithmetic."""
+    tiers = {("LAX", "SFO"): 1.0}
+    airlines = {"Delta": 1.2, "American Airlines": 1.1, "Frontier": 0.9}
+    routes = list(itertools.product(["LAX", "SFO", "JFK", None], repeat=2))
+    names = [*airlines, "United", "Alaska Airlines", "Elsewhere", None]
+    cases = [(o, d, a) for o, d in routes for a in names]
+    rows = gold(
+        spark,
+        *(
+            {"flight_id": str(i), "origin_airport": o, "destination_airport": d, "airline": a}
+            for i, (o, d, a) in enumerate(cases)
+        ),
+    )
+    points = {r["flight_id"]: r["points_required"] for r in price_awards(rows).collect()}
+    assert len(points) == len(cases)
+    for i, (o, d, a) in enumerate(cases):
+        assert points[str(i)] == round(8000 * tiers.get((o, d), 2.0) * airlines.get(a, 1.0))
+
+
+def test_unlisted_or_null_cabin_counts_once(spark):
+    rows = gold(spark, {"cabin_class": "first"}, {"cabin_class": None})
+    assert [r["points_required"] for r in price_awards(rows).collect()] == [19200, 19200]
+
+
+def test_absent_cabin_is_economy_and_null_stays_null(spark):
+    assert price_awards(gold(spark, {}).drop("cabin_class")).first()["cabin_class"] == "economy"
+    assert price_awards(gold(spark, {"cabin_class": None})).first()["cabin_class"] is None
+
+
+def test_a_flight_without_id_is_priced(spark):
+    row = price_awards(gold(spark, {"flight_id": None})).first()
+    assert row["flight_id"] is None and row["points_required"] == 19200
+
+
+def test_constants_replace_cabin_program_and_load_time(spark):
+    row = price_awards(
+        gold(spark, {"cabin_class": "business"}), cabin="economy", program="award", loaded_at="now"
+    ).first()
+    assert (row["cabin_class"], row["program"], row["ingestion_timestamp"]) == (
+        "economy",
+        "award",
+        "now",
+    )
+
+
+def test_pricing_function_is_cut_to_a_whole_number(spark):
+    seen = price_awards(
+        gold(spark, {}), points=lambda origin, destination, airline, cabin: F.length(airline) * 1.9
+    )
+    assert seen.first()["points_required"] == 9
+
+
+def test_unlisted_tier_is_an_error_even_if_the_value_is_not_shown(spark):
+    rates = RateCard.standard(spark)
+    broken = RateCard(rates.routes, rates.tiers, rates.cabins, rates.airlines, default_tier="MOON")
+    with pytest.raises(PySparkException, match="MOON"):
+        add_points(gold(spark, {"origin_airport": "XXX"}), broken).collect()
+
+
+def test_look_up_leaves_no_helper_columns(spark):
+    table = literal_rows(spark, StructType.fromDDL("k string, v int"), [("Delta", 7)])
+    found = look_up(
+        gold(spark, {}, {"airline": "Other"}), table, {"airline": "k"}, "v", "n", F.lit(0)
+    )
+    assert found.columns == [*gold(spark, {}).columns, "n"]
+    assert [r["n"] for r in found.collect()] == [7, 0]
+
+
+def test_rule_tables_are_broadcast_by_size_only(spark, settings):
+    rows = gold(spark, {}, {"airline": "Frontier"})
+    plan = plan_of(price_awards(rows))
+    assert plan.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in plan
+    assert "ExistingRDD" not in plan and "Python" not in plan
+    settings("spark.sql.autoBroadcastJoinThreshold", "-1")
+    large = price_awards(rows)
+    assert plan_of(large).count("SortMergeJoin") == 4
+    assert sorted(r["points_required"] for r in large.collect()) == [14400, 19200]
+
+
+def test_rule_tables_from_files(spark, tmp_path):
+    rates = RateCard.standard(spark)
+    path = str(tmp_path / "airlines")
+    rates.airlines.where("airline <> 'Delta'").write.parquet(path)
+    stored = RateCard(rates.routes, rates.tiers, rates.cabins, spark.read.parquet(path))
+    assert price_awards(gold(spark, {}), stored).first()["points_required"] == 16000
+    assert pricing.BASE_POINTS == 8000.0
