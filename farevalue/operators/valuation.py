@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -21,24 +22,82 @@ FLIGHT_KEYS = (
     "arrival_datetime",
 )
 
+# From this many copies on, an id is joined apart from the others. At most so many
+# ids are, which bounds the list; the ordinary join gives the same rows for the rest.
+HOT_COPIES = 10_000
+MOST_HOT_IDS = 1_000
+# Rows that one task repeats at a time.
+PIECE = 100_000
 
-def value_fares(cash: DataFrame, awards: DataFrame) -> DataFrame:
+
+def value_fares(cash: DataFrame, awards: DataFrame, hot_ids: Sequence[str] = ()) -> DataFrame:
     """Inner join on the six flight keys, with cents per point.
 
     A null key matches nothing and is filtered out before the shuffle. Copies of
     a key multiply. Each side is cut to the columns it gives before it is shuffled.
     No hint is set: AQE broadcasts a side that turns out small, and cuts the
     partition of a hot key over several tasks otherwise.
+
+    AQE judges by input size, but copies on both sides grow the output by their
+    product. The flights of ``hot_ids`` are therefore joined with their copies
+    counted instead of shuffled. The list changes the plan, never the result.
     """
     fares = cash.select(*FLIGHT_KEYS, "cash_price", "currency", "ingestion_timestamp")
     prices = awards.select(*FLIGHT_KEYS, "points_required", "cabin_class", "program", "award_type")
+    if hot_ids:
+        is_hot = F.col("flight_id").isin(list(hot_ids))
+        usual = fares.where(~is_hot).join(prices.where(~is_hot), list(FLIGHT_KEYS))
+        joined = usual.unionByName(_join_counted(fares.where(is_hot), prices.where(is_hot)))
+    else:
+        joined = fares.join(prices, list(FLIGHT_KEYS))
     cpp = cents_per_point(F.col("cash_price"), F.col("points_required"))
-    joined = fares.join(prices, list(FLIGHT_KEYS), "inner")
     return joined.withColumn("cpp_cents_per_point", cpp).select(*GOLD.columns)
 
 
+def find_hot_ids(
+    df: DataFrame, least: int = HOT_COPIES, most: int = MOST_HOT_IDS
+) -> list[str]:
+    """The ids with at least ``least`` rows, the most frequent ``most`` of them.
+
+    Reads one column; counts are taken in each task before the shuffle.
+    """
+    counted = (
+        df.where(F.col("flight_id").isNotNull())
+        .groupBy("flight_id")
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .where(F.col("copies") >= least)
+        .orderBy(F.desc("copies"), "flight_id")
+        .limit(most)
+    )
+    return [row["flight_id"] for row in counted.collect()]
+
+
 def count_joinable(df: DataFrame) -> DataFrame:
     """Rows that can match (``kept``) and rows that a null key excludes (``dropped``)."""
     has_null = reduce(or_, (F.col(key).isNull() for key in FLIGHT_KEYS))
     outcome = F.when(has_null, "dropped").otherwise("kept").alias("outcome")
     return df.groupBy(outcome).agg(F.count(F.lit(1)).alias("records"))
+
+
+def _join_counted(fares: DataFrame, prices: DataFrame) -> DataFrame:
+    """The inner join of two sides full of copies.
+
+    Equal rows are merged, mostly before the shuffle, and joined with their counts.
+    Each result row is then cut into pieces, the pieces are spread over all tasks,
+    and every task repeats its own.
+    """
+    joined = _merged(fares, "__fares").join(_merged(prices, "__prices"), list(FLIGHT_KEYS))
+    copies = F.col("__fares") * F.col("__prices")
+    cut = joined.withColumn("__copies", copies).withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0), F.expr(f"(__copies - 1) div {PIECE}")))
+    )
+    # An explicit number: AQE would merge the pieces again, which are small until repeated.
+    tasks = int(fares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = cut.repartition(tasks, *cut.columns)
+    size = F.least(F.lit(PIECE), F.col("__copies") - F.col("__piece") * PIECE)
+    repeated = spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), size)))
+    return repeated.drop("__fares", "__prices", "__copies", "__piece", "__copy")
+
+
+def _merged(df: DataFrame, count_as: str) -> DataFrame:
+    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(count_as))

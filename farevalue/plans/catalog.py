@@ -18,7 +18,7 @@ from farevalue.operators import publish, quality, search
 from farevalue.operators.enrich import add_flight_times
 from farevalue.operators.flatten import flatten_flown_fares, flatten_fares
 from farevalue.operators.pricing import LOAD_TIME_CANDIDATES, price_awards
-from farevalue.operators.valuation import count_joinable, value_fares
+from farevalue.operators.valuation import count_joinable, find_hot_ids, value_fares
 from farevalue.plans import oracle as sql
 from farevalue.plans.medallion import Layout, run_job
 from farevalue.plans.star_schema import cash_fares, envelopes, single_fare_envelopes
@@ -28,7 +28,7 @@ from farevalue.sources.writers import overwrite, overwrite_partitions
 
 RUN = quality.Run("run-1", datetime(2026, 7, 1, tzinfo=timezone.utc))
 LOADED_AT = "2026-07-01T00:00:00+00:00"
-SEARCH_DAY = date(1998, 3, 14)
+SEARCH_DAY = date(1996, 7, 6)
 
 
 @dataclass(frozen=True)
@@ -233,6 +233,42 @@ def gold_two_programs(spark, sf_dir):
     return value_fares(cash, awards)
 
 
+def _repeated(cash: DataFrame) -> DataFrame:
+    """Fares of one part and line number as copies of one flight."""
+    line = F.substring_index("flight_id", "-", -1)
+    return cash.withColumns(
+        {
+            "flight_id": F.concat_ws("-", F.lit("R"), F.substring("departure_datetime", 1, 7), line),
+            "origin_airport": F.lit("LAX"),
+            "destination_airport": F.lit("JFK"),
+            "departure_datetime": F.lit("2026-07-01T10:00:00Z"),
+            "arrival_datetime": F.lit("2026-07-01T18:00:00Z"),
+        }
+    )
+
+
+@registered(
+    f"""WITH {sql.CASH.replace("cash AS (", "single AS (", 1)}, cash AS (SELECT * REPLACE (
+ concat('R-', substr(departure_datetime, 1, 7), '-', string_split(flight_id, '-')[-1]) AS flight_id,
+ 'LAX' AS origin_airport, 'JFK' AS destination_airport,
+ '2026-07-01T10:00:00Z' AS departure_datetime, '2026-07-01T18:00:00Z' AS arrival_datetime) FROM single),
+{sql.award()},{sql.gold()}
+SELECT flight_id, airline, cabin_class, cast(count(*) AS bigint) AS fares,
+ min(cpp_cents_per_point) AS lowest_cpp, max(cpp_cents_per_point) AS highest_cpp
+ FROM gold GROUP BY ALL"""
+)
+def gold_repeated_flights(spark, sf_dir):
+    """Many copies of each flight on both sides; the busier ones are joined by count."""
+    cash = _repeated(cash_fares(spark, sf_dir))
+    awards = price_awards(cash)
+    hot_ids = find_hot_ids(awards, least=100)
+    return value_fares(cash, awards, hot_ids).groupBy("flight_id", "airline", "cabin_class").agg(
+        F.count(F.lit(1)).alias("fares"),
+        F.min("cpp_cents_per_point").alias("lowest_cpp"),
+        F.max("cpp_cents_per_point").alias("highest_cpp"),
+    )
+
+
 # Quality
 
 
@@ -324,7 +360,7 @@ SELECT *, CASE WHEN metric_value > threshold THEN 'failed' ELSE 'passed' END AS
 )
 def q_null_rate(spark, sf_dir):
     counts = quality.count_empty(gold_fares(spark, sf_dir), GOLD)
-    metrics = quality.null_rate_metrics(counts, GOLD, RUN)
+    metrics = quality.rate_metrics(counts, GOLD, RUN)
     return metrics.drop("run_id", "measured_at")
 
 
@@ -339,7 +375,7 @@ def q_null_rate_flags(spark, sf_dir):
     padded = GOLD.pad(_drifted(cash_fares(spark, sf_dir)))
     counts = quality.count_empty(padded, GOLD)
     flags = _flag_rows(
-        quality.null_rate_flags(quality.null_rate_metrics(counts, GOLD, RUN, threshold=0.1))
+        quality.rate_flags(quality.rate_metrics(counts, GOLD, RUN, threshold=0.1))
     )
     parts = F.split("observed_value", ", ")
     return flags.withColumns(

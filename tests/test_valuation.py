@@ -1,6 +1,15 @@
-from data import awards, gold, plan_of
+from collections import Counter
+
+import pytest
+from data import FARE, awards, gold, plan_of
 from farevalue.contracts import GOLD
-from farevalue.operators.valuation import FLIGHT_KEYS, count_joinable, value_fares
+from farevalue.operators import valuation
+from farevalue.operators.valuation import (
+    FLIGHT_KEYS,
+    count_joinable,
+    find_hot_ids,
+    value_fares,
+)
 from pyspark.sql import functions as F
 
 
@@ -42,6 +51,58 @@ def test_repeated_keys_multiply(spark):
     ]
 
 
+def copies(spark):
+    cash = gold(
+        spark,
+        *([{"flight_id": "hot"}] * 30),
+        *([{"flight_id": "hot", "cash_price": None}] * 3),
+        *([{"flight_id": "hot", "airline": None}] * 4),
+        {"flight_id": "one"},
+        {"flight_id": None},
+    )
+    award = awards(
+        spark,
+        *([{"flight_id": "hot"}] * 20),
+        *([{"flight_id": "hot", "points_required": 16000, "cabin_class": "business"}] * 2),
+        *([{"flight_id": "hot", "airline": "United"}] * 5),
+        *([{"flight_id": "one"}] * 2),
+        {"flight_id": None},
+    )
+    return cash, award
+
+
+@pytest.mark.parametrize("hot_ids", [["hot"], ["hot", "one"], ["absent"]])
+@pytest.mark.parametrize("piece", [7, 100_000])
+def test_hot_ids_do_not_change_the_result(spark, monkeypatch, hot_ids, piece):
+    monkeypatch.setattr(valuation, "PIECE", piece)
+    cash, award = copies(spark)
+    plain = Counter(value_fares(cash, award).collect())
+    assert plain.total() == 33 * 22 + 2
+    assert Counter(value_fares(cash, award, hot_ids).collect()) == plain
+
+
+def test_find_hot_ids(spark):
+    cash, _ = copies(spark)
+    assert find_hot_ids(cash, least=1) == ["hot", "one"]
+    assert find_hot_ids(cash, least=1, most=1) == ["hot"]
+    assert find_hot_ids(cash, least=2) == ["hot"]
+    assert find_hot_ids(cash) == []
+
+
+def test_a_hot_id_is_spread_over_all_tasks(spark):
+    """2,000 x 2,000 copies of one flight, repeated by more than one task."""
+    cash = gold(spark, {}).selectExpr("explode(sequence(1, 2000)) AS n", "*").drop("n")
+    award = awards(spark, {}).selectExpr("explode(sequence(1, 2000)) AS n", "*").drop("n")
+    per_task = (
+        value_fares(cash, award, ["f1"])
+        .groupBy(F.spark_partition_id().alias("task"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    counts = [r["n"] for r in per_task.collect()]
+    assert sum(counts) == 4_000_000
+    assert len(counts) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def test_count_joinable(spark):
     cash = gold(spark, {}, {"airline": None}, {"flight_id": None, "airline": None})
     assert dict(count_joinable(cash).collect()) == {"kept": 1, "dropped": 2}
@@ -52,19 +113,22 @@ def test_a_hot_key_is_cut_over_several_tasks(spark, settings):
     settings("spark.sql.autoBroadcastJoinThreshold", "-1")
     settings("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "100KB")
     settings("spark.sql.adaptive.advisoryPartitionSizeInBytes", "50KB")
+    settings("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "2")
     settings("spark.sql.shuffle.partitions", "8")
     hot = F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string"))
-    cash = (
-        spark.range(0, 60_000, 1, 8)
-        .crossJoin(gold(spark, {}).drop("flight_id", "cash_price"))
-        .withColumns({"flight_id": hot, "cash_price": F.col("id") * 1.5})
+    constants = {k: F.lit(v) for k, v in FARE.items()}
+    cash = spark.range(0, 60_000, 1, 8).withColumns(
+        {
+            **constants,
+            "flight_id": hot,
+            "cash_price": F.col("id") * 1.5,
+            "ingestion_timestamp": F.sha2(F.col("id").cast("string"), 256),
+        }
     )
-    award = cash.where("id % 3 != 0 OR id = 0").select(*awards(spark, {}).columns)
+    award = cash.where("id % 3 != 0 OR id = 0")
     valued = value_fares(cash, award)
-    assert valued.count() == 60_000
-    execution = valued.groupBy("flight_id").agg(F.count(F.lit(1)).alias("n"))
-    rows = execution.where("n > 1").collect()
-    assert [tuple(r) for r in rows] == [("hot", 20_000)]
-    counted = valued.select(F.count(F.lit(1)))
-    counted.collect()
+    per_id = valued.groupBy("flight_id").count().where("count > 1").collect()
+    assert [tuple(r) for r in per_id] == [("hot", 20_000)]
+    counted = valued.agg(F.count("ingestion_timestamp"))
+    assert counted.collect()[0][0] == 60_000
     assert "skew=true" in plan_of(counted)
