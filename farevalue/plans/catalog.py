@@ -520,6 +520,14 @@ def search_documents(spark, sf_dir):
 # The whole job
 
 
+def raw_layout(spark: SparkSession, sf_dir: str) -> Layout:
+    """A new layout whose raw folder holds the cash fares as JSON lines."""
+    layout = Layout(raw=scratch_path(spark, "raw"), root=scratch_path(spark, "tables"))
+    raw = single_fare_envelopes(cash_fares(spark, sf_dir))
+    _monthly_batches(raw).write.json(layout.raw)
+    return layout
+
+
 @registered(
     f"""WITH {sql.CASH.replace("cash AS (", "daily AS (", 1)},
 cash AS (SELECT * REPLACE (concat(ingestion_timestamp[1:7], '-01T00:00:00+00:00')
@@ -539,9 +547,7 @@ UNION ALL SELECT 'serving', count(*) FROM served"""
 )
 def medallion_end_to_end(spark, sf_dir):
     """Raw JSON lines through all steps of the job; records per written table."""
-    layout = Layout(raw=scratch_path(spark, "raw"), root=scratch_path(spark, "tables"))
-    raw = single_fare_envelopes(cash_fares(spark, sf_dir))
-    _monthly_batches(raw).write.json(layout.raw)
+    layout = raw_layout(spark, sf_dir)
     for result in run_job(spark, layout):
         if result.error is not None:
             raise result.error

@@ -12,30 +12,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _picked(selector: Column, values: list[str], otherwise: str | None = None) -> Column:
     """``values[selector]``; ``otherwise`` past their end."""
-    result = F.lit(otherwise)
-    for position, value in reversed(list(enumerate(values))):
-        result = F.when(selector == position, value).otherwise(result)
-    return result
+    found = F.get(F.array(*(F.lit(value) for value in values)), selector.cast("int"))
+    return found if otherwise is None else F.coalesce(found, F.lit(otherwise))
 
 
 def _day(column: str) -> Column:
     return F.col(column).cast("date").cast("string")
 
 
-def _leg_times() -> tuple[Column, Column]:
-    hour = (8 + F.col("l_quantity") % 16).cast("int").cast("string")
-    departure = F.concat(_day("l_shipdate"), F.lit("T10:00:00Z"))
-    arrival = F.concat(
-        _day("l_shipdate"), F.lit("T"), F.lpad(hour, 2, "0"), F.lit(":30:00Z")
-    )
-    return departure, arrival
+def _arrival_hour() -> Column:
+    return (8 + F.col("l_quantity") % 16).cast("int")
+
+
+def _leg_times(day: Column, hour: Column) -> tuple[Column, Column]:
+    """Departure and arrival of an order line, as text."""
+    departure = F.concat(day, F.lit("T10:00:00Z"))
+    clock = F.lpad(hour.cast("string"), 2, "0")
+    return departure, F.concat(day, F.lit("T"), clock, F.lit(":30:00Z"))
 
 
 def cash_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One fare per order line, with planted faults: null airlines, blank currencies,
     unreadable arrivals, arrivals before departure, repeated ids, and cabins, airlines
     and routes that the rule tables do not list."""
-    departure, arrival = _leg_times()
+    departure, arrival = _leg_times(_day("l_shipdate"), _arrival_hour())
     lines = table(spark, sf_dir, "lineitem")
     joined = (
         lines.join(table(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey"))
@@ -79,13 +79,12 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines.
 
     The segments are the first and the last line of the order, found by ``min`` and
-    ``max``. Those aggregate before the shuffle and keep two structs per order, where
-    a list of all lines would put a hot order into one task's memory.
+    ``max``. Those aggregate before the shuffle and keep two numbers per order, where
+    a list of all lines would put a hot order into one task's memory. A number holds
+    line, day and hour as decimal digits, so that it sorts like the three.
     """
-    departure, arrival = _leg_times()
-    leg = F.struct(
-        F.col("l_linenumber").alias("n"), departure.alias("dep"), arrival.alias("arr")
-    )
+    day = F.unix_date(F.col("l_shipdate").cast("date"))
+    leg = F.col("l_linenumber").cast("bigint") * 10_000_000 + day * 100 + _arrival_hour()
     ends = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("k"))
@@ -93,9 +92,11 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
     def segment(name: str) -> Column:
+        hour = F.col(name) % 100
+        day = F.date_from_unix_date(F.expr(f"{name} div 100 % 100000").cast("int"))
+        departure, arrival = _leg_times(day.cast("string"), hour)
         return F.struct(
-            F.col(f"{name}.dep").alias("departure_time_utc"),
-            F.col(f"{name}.arr").alias("arrival_time_utc"),
+            departure.alias("departure_time_utc"), arrival.alias("arrival_time_utc")
         )
 
     segments = (
