@@ -366,8 +366,8 @@ def q_null_rate(spark, sf_dir):
 
 @registered(
     f"""WITH {sql.CASH}, {_DRIFTED}, rates AS ({sql.null_rates('drifted', 0.1, _ABSENT)})
-SELECT NULL AS flight_id, 'NULL_RATE_THRESHOLD_EXCEEDED' AS check_name, 'warning' AS severity,
- field_name, 'Field null rate exceeded its configured threshold.' AS message,
+SELECT cast(NULL AS string) AS flight_id, 'NULL_RATE_THRESHOLD_EXCEEDED' AS check_name,
+ 'warning' AS severity, field_name, 'Field null rate exceeded its configured threshold.' AS message,
  metric_value AS rate, threshold FROM rates WHERE metric_value > threshold"""
 )
 def q_null_rate_flags(spark, sf_dir):

@@ -2,7 +2,7 @@
 
 from datetime import datetime, timezone
 
-from farevalue.contracts import AWARD, GOLD, literal_rows
+from farevalue.contracts import AWARD, GOLD
 from farevalue.operators.quality import Run
 
 RUN = Run("run-1", datetime(2026, 7, 1, tzinfo=timezone.utc))
@@ -28,12 +28,12 @@ FARE = {
 def gold(spark, *changes):
     """Gold rows: ``FARE`` with the given changes."""
     rows = [{**FARE, **change} for change in changes]
-    return literal_rows(spark, GOLD.schema, [[row[c] for c in GOLD.columns] for row in rows])
+    return spark.createDataFrame([[row[c] for c in GOLD.columns] for row in rows], GOLD.schema)
 
 
 def awards(spark, *changes):
     rows = [{**FARE, **change} for change in changes]
-    return literal_rows(spark, AWARD.schema, [[row[c] for c in AWARD.columns] for row in rows])
+    return spark.createDataFrame([[row[c] for c in AWARD.columns] for row in rows], AWARD.schema)
 
 
 def plan_of(df):

@@ -89,8 +89,9 @@ def test_look_up_leaves_no_helper_columns(spark):
     assert [r["n"] for r in found.collect()] == [7, 0]
 
 
-def test_rule_tables_are_broadcast_by_size_only(spark, settings):
-    rows = gold(spark, {}, {"airline": "Frontier"})
+def test_rule_tables_are_broadcast_by_size_only(spark, settings, tmp_path):
+    gold(spark, {}, {"airline": "Frontier"}).write.parquet(str(tmp_path / "cash"))
+    rows = spark.read.parquet(str(tmp_path / "cash"))
     plan = plan_of(price_awards(rows))
     assert plan.count("BroadcastHashJoin") == 4 and "SortMergeJoin" not in plan
     assert "ExistingRDD" not in plan and "Python" not in plan
