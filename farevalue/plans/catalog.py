@@ -234,11 +234,11 @@ def gold_two_programs(spark, sf_dir):
 
 
 def _repeated(cash: DataFrame) -> DataFrame:
-    """Fares of one part and line number as copies of one flight."""
-    line = F.substring_index("flight_id", "-", -1)
+    """The lines of 16 orders as copies of one flight."""
+    order = F.expr("cast(substring_index(substring(flight_id, 2), '-', 1) AS bigint)")
     return cash.withColumns(
         {
-            "flight_id": F.concat_ws("-", F.lit("R"), F.substring("departure_datetime", 1, 7), line),
+            "flight_id": F.concat(F.lit("R"), F.floor(order / 16).cast("string")),
             "origin_airport": F.lit("LAX"),
             "destination_airport": F.lit("JFK"),
             "departure_datetime": F.lit("2026-07-01T10:00:00Z"),
@@ -249,7 +249,7 @@ def _repeated(cash: DataFrame) -> DataFrame:
 
 @registered(
     f"""WITH {sql.CASH.replace("cash AS (", "single AS (", 1)}, cash AS (SELECT * REPLACE (
- concat('R-', substr(departure_datetime, 1, 7), '-', string_split(flight_id, '-')[-1]) AS flight_id,
+ concat('R', cast(cast(string_split(substr(flight_id, 2), '-')[1] AS bigint) // 16 AS string)) AS flight_id,
  'LAX' AS origin_airport, 'JFK' AS destination_airport,
  '2026-07-01T10:00:00Z' AS departure_datetime, '2026-07-01T18:00:00Z' AS arrival_datetime) FROM single),
 {sql.award()},{sql.gold()}
@@ -259,9 +259,9 @@ SELECT flight_id, airline, cabin_class, cast(count(*) AS bigint) AS fares,
 )
 def gold_repeated_flights(spark, sf_dir):
     """Many copies of each flight on both sides; the busier ones are joined by count."""
-    cash = _repeated(cash_fares(spark, sf_dir))
-    awards = price_awards(cash)
-    hot_ids = find_hot_ids(awards, least=100)
+    cash = _stored(_repeated(cash_fares(spark, sf_dir)), "cash")
+    awards = _stored(price_awards(cash), "awards")
+    hot_ids = find_hot_ids(awards, least=70)
     return value_fares(cash, awards, hot_ids).groupBy("flight_id", "airline", "cabin_class").agg(
         F.count(F.lit(1)).alias("fares"),
         F.min("cpp_cents_per_point").alias("lowest_cpp"),

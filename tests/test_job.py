@@ -1,6 +1,7 @@
 import json
 
 from data import gold
+from farevalue.__main__ import main
 from farevalue.contracts import GOLD, METRICS, SERVING
 from farevalue.plans.medallion import STEPS, Layout, run_job
 from farevalue.plans.star_schema import single_fare_envelopes
@@ -42,6 +43,15 @@ def test_whole_job(spark, tmp_path):
     assert results[-1].outcome.loaded == 2
 
 
+def test_command_line(spark, tmp_path, capsys):
+    raw, root = str(tmp_path / "raw"), str(tmp_path / "tables")
+    raw_fares(spark, raw, {})
+    assert main([raw, root, "--step", "bronze-cash", "--step", "silver-cash"]) == 0
+    assert capsys.readouterr().out.count(" ok (") == 2
+    assert main([raw, root, "--step", "gold-analytics"]) == 1
+    assert "failed: Source path does not exist" in capsys.readouterr().out
+
+
 def test_the_job_ends_at_the_first_failure(spark, tmp_path):
     layout = Layout(raw=str(tmp_path / "nowhere"), root=str(tmp_path / "tables"))
     results = run_job(spark, layout)
