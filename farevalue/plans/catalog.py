@@ -60,6 +60,7 @@ def _as_text(df: DataFrame) -> DataFrame:
 
 
 def gold_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold in one lazy plan. The job stores cash and awards before it joins them."""
     cash = cash_fares(spark, sf_dir)
     return value_fares(cash, price_awards(cash))
 
