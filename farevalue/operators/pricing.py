@@ -40,7 +40,7 @@ PointsFunction = Callable[[Column, Column, Column, Column], Column]
 
 @dataclass(frozen=True)
 class RateCard:
-    """Rule tables as DataFrames; a key may occur once per table.
+    """Rule tables as DataFrames; a key may occur once per table (``check_rates``).
 
     The joins carry no broadcast hint. Catalyst broadcasts a table whose size it
     knows to be below ``spark.sql.autoBroadcastJoinThreshold`` and shuffles a
@@ -67,6 +67,20 @@ class RateCard:
         )
 
 
+def check_rates(rates: RateCard) -> None:
+    """Raise ``ValueError`` if a rule table repeats a key, which would multiply rows."""
+    keyed = {
+        "routes": (rates.routes, ["origin", "destination"]),
+        "tiers": (rates.tiers, ["tier"]),
+        "cabins": (rates.cabins, ["cabin"]),
+        "airlines": (rates.airlines, ["airline"]),
+    }
+    for name, (table, keys) in keyed.items():
+        repeated = table.groupBy(*keys).count().where("count > 1").select(*keys).first()
+        if repeated is not None:
+            raise ValueError(f"Rule table {name} repeats the key {tuple(repeated)}.")
+
+
 def look_up(
     df: DataFrame,
     table: DataFrame,

@@ -1,10 +1,11 @@
 import itertools
+from dataclasses import replace
 
 import pytest
 from data import FARE, gold, plan_of
 from farevalue.contracts import AWARD, literal_rows
 from farevalue.operators import pricing
-from farevalue.operators.pricing import RateCard, add_points, look_up, price_awards
+from farevalue.operators.pricing import RateCard, add_points, check_rates, look_up, price_awards
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -101,6 +102,14 @@ def test_rule_tables_are_broadcast_by_size_only(spark, settings, tmp_path):
     assert sorted(r["points_required"] for r in large.collect()) == [14400, 19200]
 
 
+def test_a_repeated_rule_key_is_found(spark):
+    rates = RateCard.standard(spark)
+    check_rates(rates)
+    doubled = replace(rates, airlines=rates.airlines.union(rates.airlines.where("airline = 'Delta'")))
+    with pytest.raises(ValueError, match="airlines repeats the key .*Delta"):
+        check_rates(doubled)
+
+
 def test_rule_tables_from_files(spark, tmp_path):
     rates = RateCard.standard(spark)
     path = str(tmp_path / "airlines")
