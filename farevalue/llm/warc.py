@@ -31,6 +31,8 @@ READ_GAP = 64 * 1024
 READ_BYTES = 32 * 1024**2
 
 DATE = "1970-01-01T00:00:00Z"  # pages carry no fetch time; a fixed one keeps archives repeatable
+# Characters of a URL that stay as they are; the percent sign does not, so reading undoes it.
+URL_SAFE = ":/?#[]@!$&'()*+,;=~"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 INDEX = (
@@ -75,7 +77,7 @@ def make_record(
         f"X-Payload-Length: {size}",
     ]
     if url is not None:
-        lines.append(f"WARC-Target-URI: {quote(url, safe=":/?#[]@!$&'()*+,;=~")
+        lines.append(f"WARC-Target-URI: {quote(url, safe=URL_SAFE)}")
     if refers_to is not None:
         lines.append(f"WARC-Refers-To: {record_name(refers_to)}")
         lines.append(f"WARC-Profile: {PROFILE}")
