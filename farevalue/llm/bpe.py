@@ -16,7 +16,7 @@ import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame
 
-from farevalue.llm.common import select_text
+from farevalue.llm.common import select_text, slices
 
 # Characters after which the next safe boundary of a long text is looked for.
 PIECE_CHARS = 50_000
@@ -68,7 +68,7 @@ def encode(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(rank_file, pattern)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             ids = [encode_text(encoding, t or "") for t in batch.column(1).to_pylist()]
             yield pa.record_batch(
                 [batch.column(0), pa.array(ids, pa.list_(pa.int32()))], names=["doc_id", "ids"]
@@ -85,7 +85,7 @@ def decode(encoded: DataFrame, rank_file: str, pattern: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = load_encoding(rank_file, pattern)
-        for batch in batches:
+        for batch in slices(batches, "ids", width=4):
             raw = [
                 None if ids is None else encoding.decode_bytes(ids)
                 for ids in batch.column(1).to_pylist()

@@ -3,7 +3,11 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +17,9 @@ from farevalue.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 
+# Bytes of text that a task turns into Python objects at a time.
+SLICE_BYTES = 1_000_000
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -47,3 +54,48 @@ def select_text(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
         F.col(f"`{id_column}`").cast("long").alias("doc_id"),
         F.col(f"`{text_column}`").cast("string").alias("text"),
     )
+
+
+def slices(
+    batches: Iterator[pa.RecordBatch], column: str, width: int = 1, size: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """Cut batches so that ``column``, of text, bytes or lists of values of ``width``
+    bytes, has about ``size`` bytes in each part; a longer single row is one part."""
+    for batch in batches:
+        values = batch.column(column)
+        count = pc.list_value_length if pa.types.is_list(values.type) else pc.binary_length
+        lengths = np.asarray(pc.fill_null(count(values), 0), dtype=np.int64) * width
+        ends = np.cumsum(lengths + 1)
+        at = 0
+        while at < batch.num_rows:
+            before = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, before + size, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """The runs of equal values of the first ``keys`` columns, of sorted batches.
+
+    A run may go over several batches; only one run is held beside the current batch.
+    Keys must be whole numbers without nulls.
+    """
+    kept: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        values = [batch.column(k).to_numpy() for k in range(keys)]
+        changed = np.zeros(batch.num_rows, dtype=bool)
+        for v in values:
+            changed[1:] |= v[1:] != v[:-1]
+        starts = [0, *np.flatnonzero(changed).tolist(), batch.num_rows]
+        for start, end in zip(starts, starts[1:], strict=False):
+            key = tuple(v[start] for v in values)
+            if kept and key != last:
+                yield pa.Table.from_batches(kept)
+                kept = []
+            kept.append(batch.slice(start, end - start))
+            last = key
+    if kept:
+        yield pa.Table.from_batches(kept)
