@@ -21,13 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from farevalue.llm.common import select_text, stored
+from farevalue.llm.common import select_text, slices, stored
 
 CAPACITY = 4096
 END_ID = 1
 
 # Encoded words that one Python worker remembers; the memory starts anew when full.
-MEMORY = 400_000
+MEMORY = 800_000
 
 # Pieces of one length that are ranked in one group.
 RANK_GROUP = 200_000
@@ -36,8 +36,10 @@ RANK_GROUP = 200_000
 class WordIds(dict):
     """Ids of the words seen so far, as little-endian bytes.
 
-    The tokenizer drops white space and never merges across it, so a text's ids are
-    those of its words in turn.
+    The tokenizer drops white space and never merges across it, nor across the border
+    of letters and a full stop or comma, and lower-cases first. So a text's ids are
+    those of its words in turn, and a word that ends a clause has the ids of the plain
+    word and of the sign.
     """
 
     def __init__(self, tokenizer_file: str, size: int = MEMORY):
@@ -45,6 +47,13 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.tokenizer.encode_special_tokens = True
         self.size = size
+        self.signs = {sign: self.ask([sign])[0] for sign in (b".", b",")}
+
+    def ask(self, words: list[bytes]) -> list[bytes]:
+        encoded = self.tokenizer.encode_batch_fast(
+            [w.decode() for w in words], add_special_tokens=False
+        )
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
     def learn(self, words: set[bytes]) -> None:
         new = [w for w in words if w not in self]
@@ -53,30 +62,34 @@ class WordIds(dict):
         if len(self) + len(new) > self.size:
             self.clear()
             new = list(words)
-        encoded = self.tokenizer.encode_batch_fast(
-            [w.decode() for w in new], add_special_tokens=False
-        )
-        for word, e in zip(new, encoded, strict=True):
-            self[word] = np.array(e.ids, dtype="<u4").tobytes()
+        ended, plain = [], set()
+        for word in new:
+            if word[-1:] in self.signs and word[:-1].isalpha():  # ASCII letters only
+                ended.append(word)
+                plain.add(word[:-1])
+            else:
+                plain.add(word)
+        unknown = [w for w in plain if w not in self]
+        self.update(zip(unknown, self.ask(unknown), strict=True))
+        for word in ended:
+            self[word] = self[word[:-1]] + self.signs[word[-1:]]
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        words = [t.encode().split() for t in texts]
+        words = [lower_latin(t).split() for t in texts]
         self.learn(set().union(*words))
         for found in words:
             yield b"".join(map(self.__getitem__, found))
 
 
-def in_parts(texts: list[str | None], size: int = 1_000_000) -> Iterator[list[str]]:
-    """The texts in turn, in lists of about ``size`` characters; null is empty."""
-    part, total = [], 0
-    for text in texts:
-        part.append(text or "")
-        total += len(part[-1])
-        if total >= size:
-            yield part
-            part, total = [], 0
-    yield part
+def lower_latin(text: str) -> bytes:
+    """UTF-8 of ``text``, with A-Z in lower case if no character could then combine."""
+    data = text.encode()
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return data
+    return data.lower()
 
 
 @lru_cache(maxsize=2)
@@ -105,9 +118,9 @@ def tokenize_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = load_word_ids(tokenizer_file)
-        for batch in batches:
+        for batch in slices(batches, "text"):
             ids, numbers, starts, lengths, sums, raw = [], [], [], [], [], []
-            encoded = (e for part in in_parts(batch.column(1).to_pylist()) for e in words.encode(part))
+            encoded = words.encode([t or "" for t in batch.column(1).to_pylist()])
             for doc, found in zip(batch.column(0).to_pylist(), encoded, strict=True):
                 whole = found + end
                 for number, at in enumerate(range(0, len(whole), width)):
