@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farevalue.llm import bpe, packing, warc
+from farevalue.llm import bpe, embeddings, fingerprints, licenses, packing, secrets, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -52,10 +54,104 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+FINGERPRINT_ROWS = pa.schema(
+    [
+        ("doc_id", pa.int64()),
+        ("n_chars", pa.int64()),
+        ("edited_sha256", pa.string()),
+        ("fingerprint", pa.string()),
+        ("edited_fingerprint", pa.string()),
+        ("near_edited", pa.float64()),
+        ("near_next", pa.float64()),
+    ]
+)
+
+
+def edited_row(doc_id: int | None, text: str, following: str) -> tuple:
+    """A row of ``FINGERPRINT_ROWS``: the last half is replaced by the next text's start."""
+    half = len(text) // 2
+    edited = (text[: len(text) - half] + following[:half]).encode()
+    own, changed = fingerprints.digest(text.encode()), fingerprints.digest(edited)
+    return (
+        doc_id,
+        len(text),
+        hashlib.sha256(edited).hexdigest(),
+        own,
+        changed,
+        fingerprints.likeness(own, changed),
+        fingerprints.likeness(own, fingerprints.digest(following.encode())),
+    )
+
+
+def quartile_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
+    return fingerprints.map_with_next(
+        table(spark, folder, "documents"),
+        edited_row,
+        "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
+        "edited_fingerprint string, near_edited double, near_next double",
+        FINGERPRINT_ROWS,
+    )
+
+
+def secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, folder, "documents"))
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+
+    def of_kind(number: int) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == number)).cast("long")
+
+    return found.select(
+        "doc_id",
+        of_kind(0).alias("n_assign"),
+        of_kind(1).alias("n_access"),
+        of_kind(2).alias("n_hex"),
+        F.sha2(secrets.span_text(base), 256).alias("base_sha256"),
+        secrets.span_text(F.col("spans")).alias("spans"),
+    )
+
+
+def toxicity_grades(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.fit(docs, table(spark, folder, "labels"))
+    return toxicity.grade(docs, model).select("doc_id", "toxic", "grade", "expected_severity")
+
+
+def license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    counted, findings = licenses.scan(table(spark, folder, "documents"))
+    first = F.col("exact")
+    per_document = findings.groupBy("doc_id").agg(
+        F.sum(first.cast("long")).alias("n_base"),
+        F.min(F.when(first, F.col("at"))).cast("long").alias("first_word"),
+        F.max(F.when(first, F.col("at"))).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.collect_set(F.when(first, F.col("label")))), ",").alias("base"),
+        F.array_join(F.array_sort(F.collect_set("label")), ",").alias("all"),
+        F.max("score").alias("score"),
+    )
+    return counted.join(per_document, "doc_id", "left").select(
+        "doc_id",
+        "n_words",
+        F.coalesce("n_base", F.lit(0)).alias("n_base"),
+        "first_word",
+        "last_word",
+        F.coalesce("base", F.lit("")).alias("base_labels"),
+        F.coalesce("all", F.lit("")).alias("labels"),
+        F.coalesce("score", F.lit(0.0)).alias("score"),
+    )
+
+
+def embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return embeddings.deduplicate(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc": warc_round_trip,
+    "op4_fingerprints": quartile_fingerprints,
+    "op5_secrets": secret_scan,
     "op6_packing": best_fit_packing,
+    "op7_toxicity": toxicity_grades,
+    "op8_licenses": license_scan,
     "op9_byte_bpe": byte_bpe,
+    "op10_embeddings": embedding_duplicates,
 }
 
 ORACLES: dict[str, str] = {"op3_warc": WARC_SQL}

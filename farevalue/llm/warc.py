@@ -19,6 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from farevalue.llm.common import slices
 from farevalue.session import scratch_path
 
 # Payloads of fewer bytes are never written as revisits.
@@ -145,7 +146,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)
         out, path, offset = None, "", 0
-        for batch in batches:
+        for batch in slices(batches, "payload"):
             rows = []
             for page in batch.to_pylist():
                 if out is None or offset >= ARCHIVE_BYTES:
@@ -213,7 +214,10 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
     """
     block = F.floor(F.col("offset") / READ_BYTES).alias("block")
     chosen = index.select("file", "offset", "length", block)
-    dealt = chosen.repartition("file", "block").sortWithinPartitions("file", "offset").drop("block")
+    total = index.agg(F.sum("length")).first()[0] or 0
+    parts = max(1, -(-total // READ_BYTES))  # by bytes of archive, which index rows do not show
+    dealt = chosen.repartition(parts, "file", "block")
+    dealt = dealt.sortWithinPartitions("file", "offset").drop("block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, root = open_folder(folder)
