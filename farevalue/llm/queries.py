@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farevalue.llm import bpe, embeddings, fingerprints, licenses, packing, secrets, toxicity, warc
+from farevalue.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, secrets, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +54,30 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, folder, "documents"), n=3, percent=90)
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS words FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 3 THEN [words]
+    ELSE list_distinct([words[i:i + 2] FOR i IN range(1, len(words) - 1)]) END AS shingles FROM w),
+n AS (SELECT doc_id, len(shingles) AS size FROM s),
+e AS (SELECT doc_id, hash(x) AS h, x FROM (SELECT doc_id, unnest(shingles) AS x FROM s)),
+o AS (SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS shared
+  FROM e a JOIN e b ON a.h = b.h AND a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT one, two FROM o JOIN n p ON p.doc_id = one JOIN n q ON q.doc_id = two
+  WHERE 100 * shared >= 90 * (p.size + q.size - shared)),
+b AS (SELECT one AS x, two AS y FROM l UNION ALL SELECT two, one FROM l),
+r AS (SELECT doc_id AS x, doc_id AS y FROM documents UNION
+  SELECT r.x, b.y FROM r JOIN b ON b.x = r.y)
+SELECT n.doc_id, n.size AS n_shingles, c.y AS component_id
+FROM n JOIN (SELECT x, min(y) AS y FROM r GROUP BY x) c ON c.x = n.doc_id
+"""
+
+
 FINGERPRINT_ROWS = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -144,6 +168,7 @@ def embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_jaccard": jaccard_components,
     "op3_warc": warc_round_trip,
     "op4_fingerprints": quartile_fingerprints,
     "op5_secrets": secret_scan,
@@ -154,4 +179,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embeddings": embedding_duplicates,
 }
 
-ORACLES: dict[str, str] = {"op3_warc": WARC_SQL}
+ORACLES: dict[str, str] = {"op2_jaccard": JACCARD_SQL, "op3_warc": WARC_SQL}
