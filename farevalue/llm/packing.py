@@ -14,6 +14,7 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ CAPACITY = 4096
 END_ID = 1
 
 # Encoded words that one Python worker remembers; the memory starts anew when full.
-MEMORY = 800_000
+MEMORY = 1_500_000
 
 # Pieces of one length that are ranked in one group.
 RANK_GROUP = 200_000
@@ -55,13 +56,11 @@ class WordIds(dict):
         )
         return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self]
-        if not new:
-            return
+    def learn(self, words: list[list[bytes]]) -> None:
+        new = set(filterfalse(self.__contains__, chain.from_iterable(words)))
         if len(self) + len(new) > self.size:
             self.clear()
-            new = list(words)
+            new = set(chain.from_iterable(words))
         ended, plain = [], set()
         for word in new:
             if word[-1:] in self.signs and word[:-1].isalpha():  # ASCII letters only
@@ -77,7 +76,7 @@ class WordIds(dict):
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
         words = [lower_latin(t).split() for t in texts]
-        self.learn(set().union(*words))
+        self.learn(words)
         for found in words:
             yield b"".join(map(self.__getitem__, found))
 
