@@ -1,23 +1,65 @@
-"""The text operators applied in turn to a corpus of documents."""
+"""The text operators applied in turn to a corpus of documents.
+
+Every stage works on all that the one before it kept. Stages that change the text also
+set ``n_chars`` where the table has it.
+"""
 
 from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from farevalue.llm import packing
+from farevalue.llm import jaccard, packing, repeats, secrets, toxicity
 from farevalue.llm.common import stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
 
+def count_chars(docs: DataFrame) -> DataFrame:
+    if "n_chars" not in docs.columns:
+        return docs
+    kind = docs.schema["n_chars"].dataType
+    return docs.withColumn("n_chars", F.char_length("text").cast(kind))
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents whose expected severity is too high; needs ``labels``."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.keep_harmless(docs, model)
+
+
+def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the smallest id of each near-duplicate group: five words, 80 percent."""
+    return jaccard.keep_one(docs, n=5, percent=80)
+
+
+def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cut words of passages that stand earlier in the corpus; the rest keeps its layout."""
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    kept = repeats.remove_repeats(docs, carry=others, layout=True)
+    return count_chars(kept.withColumnRenamed("kept", "text").select(docs.columns))
+
+
+def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace secrets in the text by a mark."""
+    return count_chars(secrets.redact_secrets(docs))
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into training sequences; one row per piece."""
     return packing.pack(docs, TOKENIZER)
 
 
-STAGES = [("best-fit packing", pack_documents)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("n-gram Jaccard join", keep_one_of_each),
+    ("substring dedup", remove_passages),
+    ("secret scans", hide_secrets),
+    ("best-fit packing", pack_documents),
+]
 
+# SQL cannot express the fitted grades, the tests of randomness or the tokenizer.
 ORACLE_SQL = None
 
 

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farevalue.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, secrets, toxicity, warc
+from farevalue.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, repeats, secrets, toxicity, warc
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -54,6 +54,31 @@ def byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+REPEATS_SQL = r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+p AS (SELECT doc_id, unnest(range(1, len(words) - 18)) AS pos, words FROM w WHERE len(words) >= 20),
+g AS (SELECT doc_id, pos, sha256(array_to_string(words[pos:pos + 19], ' ')) AS h FROM p),
+f AS (SELECT doc_id, pos, row_number() OVER (PARTITION BY h ORDER BY doc_id, pos) AS n FROM g),
+x AS (SELECT DISTINCT doc_id, unnest(range(pos, pos + 20)) AS pos FROM f WHERE n > 1),
+k AS (SELECT doc_id, list(pos) AS gone FROM x GROUP BY doc_id),
+z AS (SELECT w.doc_id, words, len(words) AS n, coalesce(len(gone), 0) AS r, coalesce(gone, []) AS gone
+  FROM w LEFT JOIN k ON k.doc_id = w.doc_id),
+t AS (SELECT doc_id, words[i] AS word, i FROM (
+  SELECT doc_id, words, unnest(range(1, len(words) + 1)) AS i FROM w)),
+s AS (SELECT t.doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM t
+  LEFT JOIN x ON x.doc_id = t.doc_id AND x.pos = t.i WHERE x.pos IS NULL GROUP BY t.doc_id)
+SELECT z.doc_id, n AS n_words, r AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM z LEFT JOIN s ON s.doc_id = z.doc_id
+"""
+
+
 def jaccard_components(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, folder, "documents"), n=3, percent=90)
 
@@ -168,6 +193,7 @@ def embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repeats": substring_dedup,
     "op2_jaccard": jaccard_components,
     "op3_warc": warc_round_trip,
     "op4_fingerprints": quartile_fingerprints,
@@ -179,4 +205,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_embeddings": embedding_duplicates,
 }
 
-ORACLES: dict[str, str] = {"op2_jaccard": JACCARD_SQL, "op3_warc": WARC_SQL}
+ORACLES: dict[str, str] = {"op1_repeats": REPEATS_SQL, "op2_jaccard": JACCARD_SQL, "op3_warc": WARC_SQL}

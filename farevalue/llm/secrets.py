@@ -202,6 +202,13 @@ def discard_bins(counts: dict[tuple[int, int], int], rate: float = DISCOVERY_RAT
     return first
 
 
+def count_bins(found: DataFrame) -> dict[tuple[int, int], int]:
+    """Number of tested tokens by band and bin, at most BANDS * BINS counts."""
+    tokens = found.select(F.explode("tested").alias("t"))
+    rows = tokens.groupBy("t.band", "t.bin").count().collect()
+    return {(r["band"], r["bin"]): r["count"] for r in rows}
+
+
 def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id`` and ``spans`` (start, kind, end in code points) of every row.
 
@@ -210,12 +217,7 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     that holds it. The texts are read once; the driver gets at most BANDS * BINS counts.
     """
     found = stored(scan(docs, id_column, text_column), "secrets")
-    tokens = found.select(F.explode("tested").alias("t"))
-    counts = {
-        (r["band"], r["bin"]): r["count"]
-        for r in tokens.groupBy("t.band", "t.bin").count().collect()
-    }
-    first = F.array(*map(F.lit, discard_bins(counts)))
+    first = F.array(*map(F.lit, discard_bins(count_bins(found))))
     random = F.transform(
         F.filter("tested", lambda t: t["bin"] < F.get(first, t["band"])),
         lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")),
@@ -243,3 +245,28 @@ def redact(text: str, spans: list[tuple[int, int]], mark: str = "[SECRET]") -> s
             parts += [text[at:start], mark]
         at = max(at, end)
     return "".join([*parts, text[at:]])
+
+
+def redact_secrets(docs: DataFrame, text_column: str = "text", mark: str = "[SECRET]") -> DataFrame:
+    """``docs`` with every secret in the text replaced by ``mark``; nothing else changes.
+
+    The texts are read twice, for the control over all rows and for the replacement,
+    and never shuffled. A null text stays null.
+    """
+    numbered = docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
+    first = discard_bins(count_bins(scan(numbered)))
+
+    @F.arrow_udf("string")
+    def redacted(texts: pa.Array) -> pa.Array:
+        out = []
+        for value in texts:  # one text at a time becomes a Python string
+            text = value.as_py()
+            if text is not None:
+                base = base_spans(text)
+                spans = [(s, e) for s, _, e in base]
+                spans += [(s, e) for s, e, b, band in tested_tokens(text, base) if b < first[band]]
+                text = redact(text, spans, mark) if spans else text
+            out.append(text)
+        return pa.array(out, pa.string())
+
+    return docs.withColumn(text_column, redacted(F.col(f"`{text_column}`").cast("string")))
