@@ -26,15 +26,17 @@ LETTERS = re.compile(r"[^\W\d_]+")
 SAMPLE_ROWS = 20_000
 MOST_FEATURES = 4_000
 
-# A feature is in this many labelled documents at least; a stem has so many letters.
+# A feature is in this many labelled documents at least, and its share differs between
+# the classes by this many standard errors; a stem has so many letters.
 LEAST_DOCUMENTS = 3
+LEAST_STRENGTH = 4.0
 STEM = 5
 
 # Grades: 0 for harmless, and toxic documents in so many classes of growing severity.
 TOXIC_GRADES = 3
 
 # A document is rejected when its expected severity is at least this.
-REJECT_AT = 0.5
+REJECT_AT = 0.35
 
 STEPS, RATE, PENALTY = 400, 0.05, 1e-4
 
@@ -132,8 +134,8 @@ def fit(
 ) -> Model:
     """Fit a model to at most ``sample_rows`` labelled documents.
 
-    Rows without label, id or text are not used. Without both classes in the sample
-    the model grades everything 0. Features are chosen by how far their share differs
+    Rows without label, id or text are not used. Without both classes in the sample,
+    or any telling feature, the model grades everything 0. Features are chosen by how far their share differs
     between the classes, from counts that Spark makes; the driver gets the chosen ones
     and where they occur in the sample.
     """
@@ -175,10 +177,13 @@ def fit(
     spread = F.sqrt(F.col("in_all") / len(listed) * (1 / positive + 1 / (len(listed) - positive)))
     best = (
         counted.withColumn("strength", (share - other) / spread)
+        .filter(F.abs("strength") >= LEAST_STRENGTH)
         .orderBy(F.abs("strength").desc(), "feature")
         .limit(most_features)
         .collect()
     )
+    if not best:
+        return Model({}, ())
     names = {r["feature"]: n for n, r in enumerate(best)}
     telling = {r["feature"] for r in best if r["in_toxic"] > 0.8 * r["in_all"]}
     shared = spark.sparkContext.broadcast(names)

@@ -1,0 +1,48 @@
+import base64
+
+import public_tokenizers
+import regex
+import tiktoken
+from farevalue.llm import bpe
+
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PATTERN = public_tokenizers.PATTERN
+
+
+def merge(piece, ranks):
+    """Ids of one match, by the plainest form of the merges."""
+    parts = [bytes([b]) for b in piece]
+    while len(parts) > 1:
+        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], 1 << 40))
+        if parts[best] + parts[best + 1] not in ranks:
+            break
+        parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    return [ranks[p] for p in parts]
+
+
+TEXTS = ["", None, "Hello, world! it's 42\n\n  x", "é ñ 中文 \U0001f600", "<|endoftext|>", "a  b\t\nc ", " \n"]
+
+
+def test_ids_equal_plain_merges_and_decode_to_the_text(spark, documents):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    encoded = bpe.encode(documents([*enumerate(TEXTS), (None, "x"), (0, "again")]), RANKS, PATTERN)
+    rows = {(r.doc_id, bytes(r.bytes)): r.ids for r in bpe.decode(encoded, RANKS, PATTERN).collect()}
+    assert len(rows) == len(TEXTS) + 2
+    for n, text in [*enumerate(TEXTS), (None, "x"), (0, "again")]:
+        data = (text or "").encode()
+        expected = [i for m in regex.findall(PATTERN, text or "") for i in merge(m.encode(), ranks)]
+        assert rows[(n, data)] == expected
+
+
+def test_cut_text_has_the_ids_of_the_whole_text():
+    encoding = bpe.load_encoding(RANKS, PATTERN)
+    assert isinstance(encoding, tiktoken.Encoding)
+    text = " ".join(f"Word{n},  \n\tit's 中文{n}\x1c x" for n in range(300)) + "y" * 500
+    whole = encoding.encode_ordinary(text)
+    for size in (1, 7, 100, 10_000):
+        assert "".join(bpe.split_text(text, size)) == text
+        assert bpe.encode_text(encoding, text, size) == whole
+
+
+def test_empty_table(spark, documents):
+    assert bpe.encode(documents([]), RANKS, PATTERN).count() == 0

@@ -1,0 +1,96 @@
+"""The pipeline against its operators' plain versions, stage by stage, and the queries."""
+
+import os
+
+import corpus_pipeline
+import pytest
+from farevalue.llm import jaccard, queries, repeats, secrets, toxicity
+from farevalue.llm.common import stored
+from test_links import plain_components, shingles
+from test_repeats import plain_removed
+
+TABLES = os.environ.get("FAREVALUE_TABLES", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """The documents before the first stage and after each."""
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    tables = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        docs = stored(stage(spark, docs, TABLES), name.replace(" ", "-"))
+        tables.append(docs)
+    return tables
+
+
+def rows(table):
+    return {r.doc_id: r for r in table.collect()}
+
+
+def test_all_but_the_last_keep_the_columns(stages):
+    assert [t.columns for t in stages[1:-1]] == [stages[0].columns] * 4
+    assert stages[-1].count() > 0
+
+
+def test_toxicity_drops_what_it_rejects(spark, stages):
+    labels = spark.read.parquet(f"{TABLES}/labels.parquet")
+    model = toxicity.fit(stages[0], labels)
+    rejected = {i for i, r in rows(stages[0]).items() if sum(model.beyond(model.score(r.text or ""))) >= toxicity.REJECT_AT}
+    assert rejected and rows(stages[1]).keys() == rows(stages[0]).keys() - rejected
+
+
+def test_one_document_of_each_group_stays(stages):
+    sets = {i: shingles(r.text, 5) for i, r in rows(stages[1]).items()}
+    links = [
+        (a, b) for a in sets for b in sets
+        if a < b and sets[a] and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
+    ]
+    parts = plain_components(sets, links)
+    assert rows(stages[2]).keys() == {i for i in sets if parts[i] == i}
+
+
+def test_passages_are_cut(stages):
+    before, after = rows(stages[2]), rows(stages[3])
+    removed = plain_removed([(i, r.text) for i, r in before.items()], repeats.LENGTH)
+    assert any(removed.values())
+    for i, r in before.items():
+        words = repeats.WORD_RE.findall(r.text or "")
+        assert repeats.WORD_RE.findall(after[i].text) == [w for n, w in enumerate(words) if n not in removed[i]]
+        assert removed[i] or after[i].text == r.text
+        assert after[i].n_chars == len(after[i].text) and after[i].source == r.source
+
+
+def test_secrets_are_hidden(stages):
+    before, after = rows(stages[3]), rows(stages[4])
+    changed = [i for i in before if before[i].text != after[i].text]
+    assert {i for i in before if secrets.base_spans(before[i].text)} <= set(changed)
+    assert not any(secrets.base_spans(r.text) for r in after.values())
+
+
+def test_run_gives_the_rows_of_the_last_stage(spark, stages):
+    found = corpus_pipeline.run(spark, TABLES)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert sorted(map(tuple, found.select(columns).collect())) == sorted(
+        map(tuple, stages[-1].select(columns).collect())
+    )
+
+
+@pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in queries.ORACLES])
+def test_query_has_one_row_per_document(spark, name):
+    found = queries.QUERIES[name](spark, TABLES)
+    keys = {"op6_packing": ["doc_id", "piece"], "op10_embeddings": ["vec_id"]}.get(name, ["doc_id"])
+    table = "embeddings" if name == "op10_embeddings" else "documents"
+    ids = spark.read.parquet(f"{TABLES}/{table}.parquet").select(keys[0])
+    assert found.groupBy(keys).count().filter("count > 1").count() == 0
+    assert sorted(r[0] for r in found.select(keys[0]).distinct().collect()) == sorted(r[0] for r in ids.collect())
+
+
+def test_empty_documents(spark, tmp_path):
+    for name in ("documents", "labels"):
+        table = spark.read.parquet(f"{TABLES}/{name}.parquet")
+        table.limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_shared_word_pattern():
+    assert jaccard.WORD_RE.findall("a\x0bb\x1cc\xa0d  e") == ["a", "b\x1cc\xa0d", "e"]

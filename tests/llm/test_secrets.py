@@ -1,0 +1,94 @@
+import random
+import re
+
+from farevalue.llm import secrets
+
+KEY = "[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy]"
+
+
+def plain_base(text):
+    """The fixed patterns with case spelled out and lengths tested afterwards."""
+    found = []
+    for m in re.finditer(f"""({KEY})["']?\\x20*[:=]\\x20*["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m[2]) >= 6:
+            found.append((m.start(), 0, m.end()))
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found)
+
+
+PARTS = [
+    "password", "PassWD", "secret", "toKen", "token", "api_key", "APIKEY", "ſecret", '"', "'", " ", "  ", "=", ":", "\t",
+    "abc", "abcdef", "x" * 7, "AKIA", "AKIA" + "Z9" * 8, "AKIA" + "Z" * 15, "a1" * 12, "f" * 23, "A1" * 12, "é", "\n", "日本", "-._/+",
+]
+
+
+def test_base_spans_against_spelled_out_patterns():
+    rng = random.Random(5)
+    for _ in range(3000):
+        text = "".join(rng.choices(PARTS, k=rng.randrange(0, 14)))
+        assert secrets.base_spans(text) == plain_base(text)
+
+
+def token(rng, letters, n):
+    while True:
+        made = "".join(rng.choices(letters, k=n))
+        if secrets.encoding_of(made):
+            return made
+
+
+def test_random_tokens_pass_the_battery_and_patterned_ones_do_not():
+    rng = random.Random(6)
+    letters = secrets.ALPHABETS["base62"]
+    scores = [secrets.combined(t := token(rng, letters, 40), secrets.encoding_of(t)) for _ in range(300)]
+    assert sum(s < 0.05 for s in scores) < 45  # about uniform
+    for patterned in ("a1" * 20, "aaaaaaaaaaaaaaaaaaaaaaaaa1", "0123456789abcdefghijklmnopqrstuv"):
+        assert secrets.combined(patterned, secrets.encoding_of(patterned)) < 1e-3
+
+
+def test_encodings():
+    assert secrets.encoding_of("deadbeef01") == "hex"
+    assert secrets.encoding_of("DEADBEEF01") == "HEX"
+    assert secrets.encoding_of("MZXW6YTBOI======") == "base32"
+    assert secrets.encoding_of("aZ09+/==") == "base64"
+    assert secrets.encoding_of("aZ09_-") == "base64url"
+    assert secrets.encoding_of("onlyletters") is None and secrets.encoding_of("0123456") is None
+
+
+def test_discovery_control_by_hand():
+    # Ten tokens of one length: p of 1e-6 twice, the rest near 1.
+    first = secrets.discard_bins({(4, 120): 2, (4, 0): 8})
+    assert first[4] == 120 and all(f == secrets.BINS for b, f in enumerate(first) if b != 4)
+    assert secrets.discard_bins({}) == [secrets.BINS] * secrets.BANDS
+    # A longer token of the same p weighs more and is discarded first.
+    first = secrets.discard_bins({(4, 40): 1, (6, 40): 1, (4, 0): 10})
+    assert first[6] <= 40 < first[4]
+
+
+def test_find_and_redact(spark, documents):
+    rng = random.Random(7)
+    secret = token(rng, secrets.ALPHABETS["base62"], 48)
+    texts = [None, "", "plain words only", f"x {secret} y", "a1" * 30 + " tail", "token = abcdef0, é AKIA" + "Q7" * 9]
+    rows = [*enumerate(texts), (None, texts[3]), (3, texts[3])]
+    found = secrets.find_secrets(documents(rows)).collect()
+    spans = {r.doc_id: [tuple(s) for s in r.spans] for r in found}
+    assert len(found) == len(rows)
+    assert spans[0] == spans[1] == spans[2] == []
+    assert spans[3] == spans[None] == [(2, 3, 50)]
+    assert all(kind != 3 for _, kind, _ in spans[4])
+    assert [k for _, k, _ in spans[5]] == [0, 1]
+    clean = {r.doc_id: r for r in secrets.redact_secrets(documents(rows)).collect()}
+    assert clean[3].text == "x [SECRET] y" and clean[0].text is None and clean[2].text == texts[2]
+    assert clean[5].text == "[SECRET], é [SECRET]" and clean[5].gone == 2
+    assert secrets.find_secrets(documents([])).count() == 0
+    assert secrets.redact_secrets(documents([])).count() == 0
+
+
+def test_span_text(spark, documents):
+    found = secrets.find_secrets(documents([(1, "secret:abcdef" + "0" * 20)]))
+    row = found.select(secrets.span_text(found.spans).alias("t")).first()
+    assert row.t == "assign:0:33,hex:7:33"
+
+
+def test_overlapping_spans_are_replaced_once():
+    assert secrets.redact("abcdefgh", [(1, 4), (2, 6), (7, 8)], "_") == "a_g_"

@@ -1,0 +1,82 @@
+import random
+
+import numpy as np
+import pytest
+from farevalue.llm import toxicity
+
+BAD = ["vile", "rotten", "nasty", "foulmouth", "foulword"]
+
+
+def corpus(seed, size):
+    rng = random.Random(seed)
+    plain = [f"word{n}" for n in range(400)]
+    rows = []
+    for n in range(size):
+        words = rng.choices(plain, k=rng.randrange(5, 60))
+        bad = rng.random() < 0.25
+        if bad:
+            words += rng.choices(BAD, k=rng.choice([1, 2, 4, 8]))
+        rng.shuffle(words)
+        rows.append((n, " ".join(words), int(bad)))
+    return rows
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    rows = corpus(1, 600)
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame(
+        [(r[0], 0, r[2]) for r in rows] + [(None, 1, 1), (9999, 1, None)], "doc_id long, quality int, toxic int"
+    )
+    return toxicity.fit(docs, labels)
+
+
+def test_held_out_accuracy(spark, documents, model):
+    rows = corpus(2, 400)
+    found = toxicity.grade(documents([r[:2] for r in rows]), model)
+    assert found.columns[-3:] == ["grade_", "expected_severity", "toxic_"]
+    said = {r.doc_id: r.toxic_ for r in found.collect()}
+    assert np.mean([said[n] == bool(t) for n, _, t in rows]) > 0.97
+
+
+def test_thresholds_are_ordered_and_severity_grows(model):
+    assert len(model.thresholds) == toxicity.TOXIC_GRADES
+    assert list(model.thresholds) == sorted(model.thresholds)
+    assert set(BAD) <= model.weights.keys()
+    severity = [sum(model.beyond(model.score(" ".join(BAD[:k])))) for k in range(len(BAD) + 1)]
+    assert severity == sorted(severity) and severity[0] < 0.1 and severity[-1] > 1.5
+
+
+def test_gradient_descent_lowers_the_loss_like_a_numeric_optimum():
+    # One feature, three grades, by symmetry the weight is positive and thresholds are apart.
+    rng = np.random.default_rng(0)
+    present = rng.random(3000) < 0.5
+    latent = 2.0 * present + rng.logistic(size=3000)
+    grades = (latent > 1).astype(int) + (latent > 3)
+    weights, thresholds = toxicity.fit_ordinal(
+        np.flatnonzero(present), np.zeros(present.sum(), dtype=int), grades, 1
+    )
+    assert weights[0] == pytest.approx(2.0, abs=0.3)
+    assert thresholds == pytest.approx([1.0, 3.0], abs=0.3)
+
+
+def test_filter_keeps_columns_and_rows(spark, documents, model):
+    rows = [(1, "word1 word2"), (2, " ".join(BAD)), (None, None), (3, ""), (1, "word1 word2"), (4, "word3 " * 50_000)]
+    docs = documents(rows)
+    kept = toxicity.keep_harmless(docs, model)
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 1, 3, 4]
+    assert toxicity.keep_harmless(documents([]), model).count() == 0
+
+
+def test_without_both_classes_everything_is_harmless(spark, documents):
+    labels = spark.createDataFrame([(1, 0), (2, 0)], "doc_id long, toxic int")
+    docs = documents([(1, "a"), (2, "b")])
+    for given in (labels, labels.filter("false")):
+        found = toxicity.grade(docs, toxicity.fit(docs, given)).collect()
+        assert [(r.grade_, r.expected_severity, r.toxic_) for r in found] == [(0, 0.0, False)] * 2
+
+
+def test_equal_counts_share_a_grade():
+    toxic = np.array([False, True, True, True, False])
+    assert toxicity.severity_grades(toxic, np.array([0, 2, 2, 2, 0])).tolist() == [0, 1, 1, 1, 0]

@@ -1,0 +1,76 @@
+import hashlib
+import random
+
+import pytest
+from farevalue.llm import warc
+
+
+def expected(rows, smallest=100):
+    first = {}
+    for page, _, html in rows:
+        data = (html or "").encode()
+        if page is not None and len(data) >= smallest:
+            first[data] = min(page, first.get(data, page))
+    out = []
+    for page, url, html in rows:
+        data = (html or "").encode()
+        refers = first.get(data)
+        refers = refers if page is not None and refers is not None and refers < page else None
+        digest = hashlib.sha256(data).hexdigest()
+        kind = "response" if refers is None else "revisit"
+        out.append((page, url, kind, None if refers is not None else data, len(data), digest, refers))
+    return sorted(out, key=repr)
+
+
+ROWS = [
+    (3, "http://a/é b?x=%20&y\r\n", "p" * 100), (1, None, "p" * 100), (2, "u", "p" * 99), (4, "u", "p" * 99),
+    (5, "", None), (6, "u", ""), (None, "u", "p" * 100), (7, "u", "é" * 50), (8, "u", "é" * 50), (8, "u", "é" * 50),
+    (9, "u", "\r\n\r\nWARC/1.1\r\n" * 20), (10, "u", "z" * 300_000),
+]
+
+
+@pytest.fixture
+def pages(spark):
+    def make(rows):
+        table = spark.createDataFrame(rows, "page_id long, url string, html string")
+        return table.selectExpr("*", "1 AS payload", "2 AS file", "3 AS first_id")
+
+    return make
+
+
+def test_round_trip(spark, pages, tmp_path):
+    found = warc.round_trip(pages(ROWS).repartition(3), f"{tmp_path}/w").collect()
+    rows = [(*r[:3], None if r.payload is None else bytes(r.payload), *r[4:]) for r in found]
+    assert sorted(rows, key=repr) == expected(ROWS)
+    assert warc.round_trip(pages([]), f"{tmp_path}/none").count() == 0
+
+
+def test_chosen_records_only_and_several_archives(spark, pages, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 200)
+    index = warc.write_archives(warc.choose_types(pages(ROWS)), f"{tmp_path}/w")
+    chosen = index.filter("page_id % 2 = 0")
+    assert {r.page_id for r in warc.read_archives(chosen, f"{tmp_path}/w").collect()} == {2, 4, 6, 8, 10}
+
+
+def test_ranges_are_merged_and_bounded():
+    rng = random.Random(1)
+    for _ in range(200):
+        rows, at = [], 0
+        for _ in range(rng.randrange(12)):
+            at += rng.choice([0, 0, 3, 50])
+            rows.append((at, length := rng.randrange(1, 30)))
+            at += length
+        reads = list(warc.merge_ranges(rows, gap=5, most=60))
+        assert sum(n for _, _, n in reads) == len(rows)
+        done = 0
+        for start, end, number in reads:
+            part = rows[done : done + number]
+            assert start == part[0][0] and end == max(o + n for o, n in part)
+            assert end - start <= 60 or number == 1
+            done += number
+
+
+def test_a_damaged_record_is_an_error():
+    raw = warc.make_record(1, "u", b"abc", hashlib.sha256(b"abd").hexdigest(), 3, None)
+    with pytest.raises(ValueError, match="digest"):
+        warc.read_row(raw)
