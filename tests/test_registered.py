@@ -23,7 +23,7 @@ def database():
     connection.close()
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", registry.oracle_sql())
 def test_query_equals_its_sql(spark, database, name):
     result = registry.queries()[name](spark, TABLES)
     assert result.count() > 0
