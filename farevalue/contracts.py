@@ -17,11 +17,10 @@ def literal_rows(spark: SparkSession, schema: StructType, rows: Sequence[Sequenc
         F.struct(*(F.lit(value).cast(f.dataType).alias(f.name) for f, value in zip(schema, row)))
         for row in rows
     ]
-    if not structs:
-        return spark.range(0, 0, 1, 1).select(
-            *(F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields)
-        )
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    row_type = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in schema)
+    return spark.range(0, 1, 1, 1).select(
+        F.inline(F.array(*structs).cast(f"array<struct<{row_type}>>"))
+    )
 
 
 @dataclass(frozen=True)
@@ -62,18 +61,15 @@ class Contract:
 
     def drift(self, df: DataFrame) -> list[Drift]:
         """Compare the schema of ``df`` by type text; reads no data."""
-        actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-        expected = {f.name: f.dataType.simpleString() for f in self.schema.fields}
-        declared = [
-            Drift("mismatch" if name in actual else "missing", name, wanted, actual.get(name))
-            for name, wanted in expected.items()
-            if actual.get(name) != wanted
-        ]
-        extra = [
-            Drift("unexpected", name, None, actual[name])
-            for name in sorted(actual.keys() - expected.keys())
-        ]
-        return declared + extra
+        found = dict(df.dtypes)
+        drifts = []
+        for field in self.schema:
+            wanted, given = field.dataType.simpleString(), found.pop(field.name, None)
+            if given is None:
+                drifts.append(Drift("missing", field.name, wanted, None))
+            elif given != wanted:
+                drifts.append(Drift("mismatch", field.name, wanted, given))
+        return drifts + [Drift("unexpected", *extra) for extra in _extras(found)]
 
     def pad(self, df: DataFrame) -> DataFrame:
         """Add the columns that ``df`` lacks as typed nulls, in one projection."""
@@ -85,6 +81,10 @@ class Contract:
         return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema))
 
 
+def _extras(columns: dict[str, str]) -> list[tuple[str, None, str]]:
+    return [(name, None, kind) for name, kind in sorted(columns.items())]
+
+
 def union_all(contract: Contract, spark: SparkSession, *frames: DataFrame) -> DataFrame:
     """Union by name; without any frame, an empty one with the contract's schema."""
     if not frames:
@@ -120,6 +120,13 @@ BRONZE_CASH = Contract(
     key="flight_id",
 )
 
+SILVER_CASH = Contract(
+    "silver_cash",
+    BRONZE_CASH.ddl
+    + ", departure_ts timestamp, arrival_ts timestamp, flight_duration_minutes double",
+    key="flight_id",
+)
+
 AWARD = Contract(
     "bronze_award",
     """

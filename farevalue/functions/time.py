@@ -6,10 +6,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# A date followed by at least hours and minutes.
+FULL = r"^\s*[+-]?\d{4,6}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}"
+
 
 def parse_instant(value: Column) -> Column:
-    """Any ISO date-time as a timestamp; null instead of an error for bad text."""
-    return F.try_to_timestamp(value)
+    """An ISO date with a time as a timestamp; null for any other text.
+
+    Spark would complete a time, or a year, from the clock of the run.
+    """
+    return F.when(value.cast("string").rlike(FULL), F.try_to_timestamp(value))
 
 
 def calendar_day(value: Column) -> Column:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
@@ -22,15 +21,12 @@ FLIGHT_KEYS = (
     "arrival_datetime",
 )
 
-# From this many copies on, an id is joined apart from the others. At most so many
-# ids are, which bounds the list; the ordinary join gives the same rows for the rest.
-HOT_COPIES = 10_000
-MOST_HOT_IDS = 1_000
-# Rows that one task repeats at a time.
+# Pairs of rows that one piece of a hot id makes, and rows that one task repeats at a time.
+PAIRS = 1_000_000
 PIECE = 100_000
 
 
-def value_fares(cash: DataFrame, awards: DataFrame, hot_ids: Sequence[str] = ()) -> DataFrame:
+def value_fares(cash: DataFrame, awards: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Inner join on the six flight keys, with cents per point.
 
     A null key matches nothing and is filtered out before the shuffle. Copies of
@@ -39,37 +35,44 @@ def value_fares(cash: DataFrame, awards: DataFrame, hot_ids: Sequence[str] = ())
     partition of a hot key over several tasks otherwise.
 
     AQE judges by input size, but copies on both sides grow the output by their
-    product. The flights of ``hot_ids`` are therefore joined with their copies
-    counted instead of shuffled. The list changes the plan, never the result.
+    product. The flights of ``hot``, a stored table from ``find_hot``, are therefore
+    merged where rows are equal, cut into pieces before the join, and repeated
+    afterwards. The table changes the plan, never the result.
     """
     fares = cash.select(*FLIGHT_KEYS, "cash_price", "currency", "ingestion_timestamp")
     prices = awards.select(*FLIGHT_KEYS, "points_required", "cabin_class", "program", "award_type")
-    if hot_ids:
-        is_hot = F.col("flight_id").isin(list(hot_ids))
-        usual = fares.where(~is_hot).join(prices.where(~is_hot), list(FLIGHT_KEYS))
-        joined = usual.unionByName(_join_counted(fares.where(is_hot), prices.where(is_hot)))
-    else:
+    if hot is None:
         joined = fares.join(prices, list(FLIGHT_KEYS))
+    else:
+        sides = [side.join(hot, "flight_id", "left_anti") for side in (fares, prices)]
+        usual = sides[0].join(sides[1], list(FLIGHT_KEYS))
+        joined = usual.unionByName(_join_in_pieces(fares, prices, hot))
     cpp = cents_per_point(F.col("cash_price"), F.col("points_required"))
     return joined.withColumn("cpp_cents_per_point", cpp).select(*GOLD.columns)
 
 
-def find_hot_ids(
-    df: DataFrame, least: int = HOT_COPIES, most: int = MOST_HOT_IDS
-) -> list[str]:
-    """The ids with at least ``least`` rows, the most frequent ``most`` of them.
+def find_hot(cash: DataFrame, awards: DataFrame, pairs: int = PAIRS) -> DataFrame:
+    """``flight_id, pieces, cut_fares``: ids whose copies make more than ``pairs`` pairs.
 
-    Reads one column; counts are taken in each task before the shuffle.
+    Reads one column of each side, counted in each task before the shuffle. The side
+    with more copies is the one to cut. ``pieces`` grows with the product.
     """
-    counted = (
-        df.where(F.col("flight_id").isNotNull())
+    fares, prices = (
+        side.where(F.col("flight_id").isNotNull())
         .groupBy("flight_id")
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") >= least)
-        .orderBy(F.desc("copies"), "flight_id")
-        .limit(most)
+        .agg(F.count(F.lit(1)).cast("decimal(20,0)").alias(name))
+        for side, name in ((cash, "fares"), (awards, "prices"))
+    )
+    product = F.col("fares") * F.col("prices")
+    return (
+        fares.join(prices, "flight_id")
+        .where(product > pairs)
+        .select(
+            "flight_id",
+            F.ceil(product / pairs).cast("bigint").alias("pieces"),
+            (F.col("fares") >= F.col("prices")).alias("cut_fares"),
+        )
     )
-    return [row["flight_id"] for row in counted.collect()]
 
 
 def count_joinable(df: DataFrame) -> DataFrame:
@@ -79,24 +82,40 @@ def count_joinable(df: DataFrame) -> DataFrame:
     return df.groupBy(outcome).agg(F.count(F.lit(1)).alias("records"))
 
 
-def _join_counted(fares: DataFrame, prices: DataFrame) -> DataFrame:
-    """The inner join of two sides full of copies.
+def _join_in_pieces(fares: DataFrame, prices: DataFrame, hot: DataFrame) -> DataFrame:
+    """The inner join for the ids of ``hot``.
 
-    Equal rows are merged, mostly before the shuffle, and joined with their counts.
-    Each result row is then cut into pieces, the pieces are spread over all tasks,
-    and every task repeats its own.
+    Equal rows are merged, mostly before the shuffle, and counted. One side's distinct
+    rows are dealt to the pieces of their id by their content, and the other side's
+    go to every piece. Result rows that stand for many are cut and spread again, and
+    every task repeats its own.
     """
-    joined = _merged(fares, "__fares").join(_merged(prices, "__prices"), list(FLIGHT_KEYS))
-    copies = F.col("__fares") * F.col("__prices")
-    cut = joined.withColumn("__copies", copies).withColumn(
-        "__piece", F.explode(F.sequence(F.lit(0), F.expr(f"(__copies - 1) div {PIECE}")))
-    )
+    whole = [
+        _merged(fares, "__fares").join(hot, "flight_id"),
+        _merged(prices, "__prices").join(hot, "flight_id"),
+    ]
+    dealt = []
+    for side, is_cut in zip(whole, (F.col("cut_fares"), ~F.col("cut_fares")), strict=True):
+        own = F.pmod(F.xxhash64(*side.columns), F.col("pieces"))
+        every = F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)
+        piece = F.explode(F.when(is_cut, F.array(own)).otherwise(every))
+        dealt.append(side.withColumn("__part", piece).drop("pieces", "cut_fares"))
+    joined = dealt[0].join(dealt[1], [*FLIGHT_KEYS, "__part"]).drop("__part")
+    cut = joined.withColumn("__copies", F.col("__fares") * F.col("__prices"))
+    cut = _cut(_cut(cut, 1000 * PIECE, "__block"), PIECE, "__piece")
     # An explicit number: AQE would merge the pieces again, which are small until repeated.
     tasks = int(fares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = cut.repartition(tasks, *cut.columns)
-    size = F.least(F.lit(PIECE), F.col("__copies") - F.col("__piece") * PIECE)
-    repeated = spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), size)))
-    return repeated.drop("__fares", "__prices", "__copies", "__piece", "__copy")
+    repeated = spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    return repeated.drop("__fares", "__prices", "__copies", "__block", "__piece", "__copy")
+
+
+def _cut(df: DataFrame, size: int, number: str) -> DataFrame:
+    """Rows that stand for ``__copies`` equal ones as numbered rows for at most ``size``."""
+    last = F.expr(f"(__copies - 1) div {size}")
+    return df.withColumn(number, F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn(
+        "__copies", F.least(F.lit(size), F.col("__copies") - F.col(number) * size)
+    )
 
 
 def _merged(df: DataFrame, count_as: str) -> DataFrame:

@@ -18,7 +18,7 @@ from farevalue.operators import publish, quality, search
 from farevalue.operators.enrich import add_flight_times
 from farevalue.operators.flatten import flatten_flown_fares, flatten_fares
 from farevalue.operators.pricing import LOAD_TIME_CANDIDATES, price_awards
-from farevalue.operators.valuation import count_joinable, find_hot_ids, value_fares
+from farevalue.operators.valuation import count_joinable, find_hot, value_fares
 from farevalue.plans import oracle as sql
 from farevalue.plans.medallion import Layout, run_job
 from farevalue.plans.star_schema import cash_fares, envelopes, single_fare_envelopes
@@ -82,13 +82,6 @@ def nested_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.select(F.from_json("line", ENVELOPE.schema).alias("e")).select("e.*")
 
 
-def _monthly_batches(raw: DataFrame) -> DataFrame:
-    """The same envelopes as if ingested once a month: a folder per day is out of
-    proportion to the test tables, which would leave a few rows in each."""
-    first = F.concat(F.substring("ingest_ts", 1, 7), F.lit("-01T00:00:00+00:00"))
-    return raw.withColumn("ingest_ts", first)
-
-
 # Nested source and typed times
 
 
@@ -112,12 +105,12 @@ def flatten_skip_empty(spark, sf_dir):
 
 
 @registered(
-    f"""WITH {sql.ORDER_LEGS} SELECT concat(day[1:7], '-01') AS ingestion_date, cast(count(*) AS bigint) AS fares,
+    f"""WITH {sql.ORDER_LEGS} SELECT day AS ingestion_date, cast(count(*) AS bigint) AS fares,
  min(price) AS lowest_price, max(price) AS highest_price FROM fares GROUP BY 1"""
 )
 def ingestion_day(spark, sf_dir):
     path = scratch_path(spark, "bronze-cash")
-    fares = flatten_fares(_monthly_batches(nested_envelopes(spark, sf_dir)))
+    fares = flatten_fares(nested_envelopes(spark, sf_dir))
     overwrite_partitions(fares, path, "ingestion_date")
     stored = read_table(spark, path).groupBy("ingestion_date").agg(
         F.count(F.lit(1)).alias("fares"),
@@ -259,11 +252,11 @@ SELECT flight_id, airline, cabin_class, cast(count(*) AS bigint) AS fares,
  FROM gold GROUP BY ALL"""
 )
 def gold_repeated_flights(spark, sf_dir):
-    """Many copies of each flight on both sides; the busier ones are joined by count."""
+    """Many copies of each flight on both sides; the busier ones are joined in pieces."""
     cash = _stored(_repeated(cash_fares(spark, sf_dir)), "cash")
     awards = _stored(price_awards(cash), "awards")
-    hot_ids = find_hot_ids(awards, least=70)
-    return value_fares(cash, awards, hot_ids).groupBy("flight_id", "airline", "cabin_class").agg(
+    hot = _stored(find_hot(cash, awards, pairs=1000), "hot")
+    return value_fares(cash, awards, hot).groupBy("flight_id", "airline", "cabin_class").agg(
         F.count(F.lit(1)).alias("fares"),
         F.min("cpp_cents_per_point").alias("lowest_cpp"),
         F.max("cpp_cents_per_point").alias("highest_cpp"),
@@ -355,6 +348,12 @@ def q_schema_drift(spark, sf_dir):
     return _count_flags(quality.validate(drifted, GOLD, RUN.run_id, at=RUN.at).flags)
 
 
+@registered(_SCHEMA_ROWS)
+def q_schema_flags(spark, sf_dir):
+    """The flags of the schema alone, with their texts."""
+    return _flag_rows(quality.schema_flags(_drifted(cash_fares(spark, sf_dir)), GOLD, RUN))
+
+
 @registered(
     f"""{sql.GOLD_TABLES}, rates AS ({sql.null_rates('gold', 0.05)})
 SELECT *, CASE WHEN metric_value > threshold THEN 'failed' ELSE 'passed' END AS status FROM rates"""
@@ -525,15 +524,12 @@ def raw_layout(spark: SparkSession, sf_dir: str) -> Layout:
     """A new layout whose raw folder holds the cash fares as JSON lines."""
     layout = Layout(raw=scratch_path(spark, "raw"), root=scratch_path(spark, "tables"))
     raw = single_fare_envelopes(cash_fares(spark, sf_dir))
-    _monthly_batches(raw).write.json(layout.raw)
+    raw.write.json(layout.raw)
     return layout
 
 
 @registered(
-    f"""WITH {sql.CASH.replace("cash AS (", "daily AS (", 1)},
-cash AS (SELECT * REPLACE (concat(ingestion_timestamp[1:7], '-01T00:00:00+00:00')
- AS ingestion_timestamp) FROM daily),
-{sql.award()},{sql.gold()},{sql.SERVED},
+    f"""WITH {sql.CASH},{sql.award()},{sql.gold()},{sql.SERVED},
 rates AS ({sql.null_rates('gold', 0.05)}),
 found AS (SELECT check_name FROM ({_all_flags('gold')})
  UNION ALL SELECT check_name FROM ({_RATE_FLAG_COUNTS}))

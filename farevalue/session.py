@@ -19,9 +19,9 @@ SETTINGS = {
 }
 
 
-# Bytes of input per shuffle partition, and the range of partition numbers.
+# Bytes of input per shuffle partition, and the least number of partitions.
 PARTITION_BYTES = 256 * 1024**2
-MIN_PARTITIONS, MAX_PARTITIONS = 200, 100_000
+MIN_PARTITIONS = 200
 
 
 def shuffle_partitions(input_bytes: int) -> int:
@@ -30,7 +30,7 @@ def shuffle_partitions(input_bytes: int) -> int:
     AQE merges partitions that turn out small, but cuts only hot ones, so the number
     to start from must fit the data.
     """
-    return min(MAX_PARTITIONS, max(MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES)))
+    return max(MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
 
 
 def build_session(

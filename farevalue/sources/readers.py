@@ -4,22 +4,27 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from farevalue.contracts import ENVELOPE, SERVING
 
 
+# The column with the text of a line that does not fit the declared schema.
+REJECTED = "rejected_line"
+
+
 def read_envelopes(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """Read raw fare envelopes.
 
     JSON lines are the default because such files split into many tasks. A
     ``multi_line`` file (one JSON array) is read by one task, so large input in
-    that form should come as many files.
+    that form should come as many files. A malformed line has its text in ``REJECTED``,
+    which is null for the others.
     """
-    return _found(
-        path,
-        lambda: spark.read.schema(ENVELOPE.schema).option("multiLine", multi_line).json(path),
-    )
+    schema = StructType([*ENVELOPE.schema, StructField(REJECTED, StringType())])
+    reader = spark.read.schema(schema).option("multiLine", multi_line)
+    reader = reader.option("columnNameOfCorruptRecord", REJECTED)
+    return _found(path, lambda: reader.json(path))
 
 
 def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:

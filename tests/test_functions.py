@@ -45,6 +45,8 @@ def test_offsets_before_1970_and_bad_times(spark):
     )
     assert value(spark, parse_instant(F.lit("not-a-time"))) is None
     assert value(spark, parse_instant(F.lit(""))) is None
+    for incomplete in ("10:30:00", "T10:30", "2026", "2026-07", "2026-07-01"):
+        assert value(spark, parse_instant(F.lit(incomplete))) is None, incomplete
 
 
 def test_calendar_day_is_the_day_as_written(spark):

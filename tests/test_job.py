@@ -1,4 +1,5 @@
 import json
+from dataclasses import replace
 
 from data import gold
 from farevalue.__main__ import main
@@ -80,3 +81,28 @@ def test_multi_line_input(spark, tmp_path):
     layout = Layout(str(tmp_path / "array.json"), str(tmp_path / "tables"), multi_line=True)
     assert all(r.ok for r in run_job(spark, layout, STEPS[:2]))
     assert read_table(spark, layout.silver_cash).count() == 2
+
+
+def test_envelopes_without_itineraries_end_with_no_documents(spark, tmp_path):
+    layout = Layout(raw=str(tmp_path / "raw"), root=str(tmp_path / "tables"))
+    (tmp_path / "raw").mkdir()
+    (tmp_path / "raw" / "a.json").write_text('{"origin": "LAX", "response": {"itineraries": []}}\n')
+    results = run_job(spark, layout)
+    assert [r.name for r in results if not r.ok] == []
+    assert results[0].outcome == 0 and results[-1].outcome.loaded == 0
+    assert read_serving(spark, layout.serving).count() == 0
+
+
+def test_malformed_lines_are_kept_apart_and_counted(spark, tmp_path):
+    layout = Layout(raw=str(tmp_path / "raw"), root=str(tmp_path / "tables"))
+    raw_fares(spark, layout.raw, {}, {"flight_id": "other"})
+    bad = ['{"origin": "LAX", ', "garbage"]
+    (tmp_path / "raw" / "bad.json").write_text("\n".join(bad) + "\n")
+    results = run_job(spark, layout)
+    assert [r.error for r in results if not r.ok] == []
+    assert results[0].outcome == 2 and results[-1].outcome.loaded == 2
+    rejected = spark.read.parquet(layout.rejected).collect()
+    assert sorted(r["rejected_line"] for r in rejected) == sorted(bad)
+    assert all(r["file"].endswith("bad.json") for r in rejected)
+    strict = run_job(spark, replace(layout, root=str(tmp_path / "strict"), strict=True))
+    assert len(strict) == 1 and "2 raw lines" in str(strict[0].error)

@@ -1,6 +1,6 @@
 import pytest
 from data import gold
-from farevalue.session import MAX_PARTITIONS, MIN_PARTITIONS, scratch_path, shuffle_partitions
+from farevalue.session import MIN_PARTITIONS, scratch_path, shuffle_partitions
 from farevalue.sources.readers import read_envelopes, read_table
 from farevalue.sources.writers import overwrite, overwrite_partitions, overwrite_ranges
 from pyspark.sql import functions as F
@@ -76,4 +76,4 @@ def test_scratch_is_below_the_shared_folder(spark):
 def test_shuffle_partitions_follow_the_input():
     assert shuffle_partitions(0) == MIN_PARTITIONS
     assert shuffle_partitions(1024**4) == 4096
-    assert shuffle_partitions(100 * 1024**4) == MAX_PARTITIONS
+    assert shuffle_partitions(100 * 1024**4) >= 372_530
