@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,9 @@ from farevalue.session import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 
+# Word hashes that one Python worker remembers; the memory starts anew when full.
+REMEMBERED = 400_000
+
 # Bytes of text that a task turns into Python objects at a time.
 SLICE_BYTES = 1_000_000
 
@@ -43,6 +47,43 @@ def fresh_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+def words_of(text: str | None, lower: bool = False) -> list[bytes]:
+    """The words of ``text`` in UTF-8, with A-Z in lower case if wanted.
+
+    Bytes split at ASCII white space, which is just what ``WORD`` leaves out.
+    """
+    data = (text or "").encode()
+    return (data.lower() if lower else data).split()
+
+
+class WordHashes(dict):
+    """64-bit hashes of words; a worker keeps them from batch to batch."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        self[word] = value = xxhash.xxh3_64_intdigest(word)
+        return value
+
+
+WORKER_HASHES = WordHashes()
+
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
+MIX = np.uint64(0xD6E8FEB86659FD93)
+
+
+def roll(words: list[bytes], n: int) -> np.ndarray:
+    """Mixed 64-bit hashes of all n-grams of ``words``, which has n words at least."""
+    hashes = WORKER_HASHES
+    single = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
+    rolled = np.full(len(words) - n + 1, n, dtype=np.uint64)
+    for j in range(n):
+        rolled = rolled * MULTIPLIER + single[j : len(words) - n + 1 + j]
+    rolled ^= rolled >> np.uint64(32)
+    rolled *= MIX
+    return rolled ^ (rolled >> np.uint64(32))
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z in lower case and everything else unchanged."""
     return F.translate(text, UPPER, UPPER.lower())

@@ -25,17 +25,12 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import UPPER, WORD_RE, fresh_name, groups, select_text, slices, stored
+from farevalue.llm.common import fresh_name, groups, roll, select_text, slices, stored, words_of
 from farevalue.llm.components import Forest, connected_components
 
-LOWER = str.maketrans(UPPER, UPPER.lower())
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-MIX = np.uint64(0xD6E8FEB86659FD93)
-
 # Bits of the parity bitmap. Lists and groups beyond a block are compared in pairs of blocks.
 BITMAP_BITS = 512
 LIST_BLOCK, GROUP_BLOCK = 8_000, 1_000
@@ -44,31 +39,15 @@ LIST_BLOCK, GROUP_BLOCK = 8_000, 1_000
 MU = 0.005
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, each computed once."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = value = xxhash.xxh3_64_intdigest(word.encode())
-        return value
-
-
-def shingle_set(text: str, n: int, hashes: WordHashes) -> np.ndarray:
+def shingle_set(text: str | None, n: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the n-grams of ``text``, A-Z in lower case.
 
     With fewer words the whole sequence is one; without words there is none.
     """
-    words = WORD_RE.findall(text.translate(LOWER))
+    words = words_of(text, lower=True)
     if not words:
         return np.empty(0, dtype=np.uint64)
-    single = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-    n = min(n, len(words))
-    rolled = np.full(len(words) - n + 1, n, dtype=np.uint64)
-    for j in range(n):
-        rolled = rolled * MULTIPLIER + single[j : len(words) - n + 1 + j]
-    rolled ^= rolled >> np.uint64(32)
-    rolled *= MIX
-    rolled ^= rolled >> np.uint64(32)
-    return np.unique(rolled)
+    return np.unique(roll(words, min(n, len(words))))
 
 
 def least_overlap(size: int, percent: int) -> int:
@@ -92,25 +71,6 @@ def bitmap(shingles: np.ndarray) -> bytes:
     return np.packbits((counts & 1).astype(np.uint8)).tobytes()
 
 
-def set_sizes(rows: DataFrame, n: int) -> DataFrame:
-    """``doc_id, n_shingles, key``: equal keys are equal sets; the empty set has none."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
-            hashes = WordHashes()
-            sets = [shingle_set(t or "", n, hashes) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([set_key(s) for s in sets], pa.binary()),
-                ],
-                names=["doc_id", "n_shingles", "key"],
-            )
-
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, key binary")
-
-
 def set_key(shingles: np.ndarray) -> bytes | None:
     if not len(shingles):
         return None
@@ -118,39 +78,36 @@ def set_key(shingles: np.ndarray) -> bytes | None:
 
 
 def signatures(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """``key, doc_id, size, low, rest, bits`` of every row with an id and words.
+    """``doc_id, size, key, low, rest, bits`` of every row; the empty set has no key.
 
-    ``low`` are the hashes whose rarity is counted. If a prefix may need more, ``rest``
-    has the lowest of the others.
+    Equal keys are equal sets. ``low`` are the hashes whose rarity is counted. If a
+    prefix may need more, ``rest`` has the lowest of the others.
     """
     bound = np.uint64(low_bound(percent))
+    longs = pa.list_(pa.int64())
+    kinds = (pa.int64(), pa.binary(), longs, longs, pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            hashes = WordHashes()
-            out: list[list] = [[], [], [], [], [], []]
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                found = shingle_set(text or "", n, hashes)
-                if doc is None or not len(found):
-                    continue
+            out: list[list] = [[], [], [], [], []]
+            for text in batch.column("text").to_pylist():
+                found = shingle_set(text, n)
                 prefix = len(found) - least_overlap(len(found), percent) + 1
                 low = int(np.searchsorted(found, bound))
                 row = (
-                    set_key(found), doc, len(found), found[:low].view(np.int64),
+                    len(found), set_key(found), found[:low].view(np.int64),
                     found[low : max(low, prefix)].view(np.int64), bitmap(found),
                 )
                 for column, value in zip(out, row, strict=True):
                     column.append(value)
-            longs = pa.list_(pa.int64())
-            kinds = (pa.binary(), pa.int64(), pa.int64(), longs, longs, pa.binary())
             yield pa.record_batch(
-                [pa.array(c, k) for c, k in zip(out, kinds, strict=True)],
-                names=["key", "doc_id", "size", "low", "rest", "bits"],
+                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(out, kinds, strict=True))],
+                names=["doc_id", "size", "key", "low", "rest", "bits"],
             )
 
     return rows.mapInArrow(
         run,
-        "key binary, doc_id long, size long, low array<long>, rest array<long>, bits binary",
+        "doc_id long, size long, key binary, low array<long>, rest array<long>, bits binary",
     )
 
 
@@ -190,12 +147,13 @@ def inverted_rows(classes: DataFrame, percent: int) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("count", "gram"))).alias("shared"))
     )
     prefix = F.col("size") - F.ceil(F.col("size") * percent / 100) + 1
-    single = F.size("low") - F.coalesce(F.size("shared"), F.lit(0))
+    single = F.col("counted") - F.coalesce(F.size("shared"), F.lit(0))
     wanted = F.least(F.greatest(prefix - single, F.lit(0)), F.size("shared")).cast("int")
     rare = F.transform(F.slice("shared", F.lit(1), wanted), lambda s: s["gram"])
     grams = F.concat(F.coalesce(rare, F.array().cast("array<bigint>")), "rest")
     return (
-        classes.join(shared, "doc_id", "left")
+        classes.select("doc_id", "size", F.size("low").alias("counted"), "rest", "bits")
+        .join(shared, "doc_id", "left")
         .select(F.explode(grams).alias("gram"), "doc_id", "size", "bits")
     )
 
@@ -326,11 +284,8 @@ def verified_links(placed: DataFrame, n: int, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in groups(batches, 3):
-            hashes = WordHashes()
             ids = group.column("doc_id").to_pylist()
-            sets = [
-                shingle_set(t.as_py() or "", n, hashes).tolist() for t in group.column("text")
-            ]
+            sets = [shingle_set(t.as_py(), n).tolist() for t in group.column("text")]
             links = link_group(sets, percent)
             if links:
                 yield pa.record_batch(
@@ -355,17 +310,11 @@ def near_duplicates(
     Other columns are ignored, and an empty table gives an empty result.
     """
     rows = select_text(docs, id_column, text_column)
-    sizes = stored(set_sizes(rows, n), "set-sizes")
-    classes = stored(
-        signatures(rows, n, percent)
-        .groupBy("key")
-        .agg(
-            F.min("doc_id").alias("doc_id"),
-            *(F.any_value(c).alias(c) for c in ("size", "low", "rest", "bits")),
-        )
-        .drop("key"),
-        "set-classes",
-    )
+    found = stored(signatures(rows, n, percent), "signatures")
+    sizes = found.select("doc_id", F.col("size").alias("n_shingles"), "key")
+    usable = found.filter("key IS NOT NULL AND doc_id IS NOT NULL")
+    first = stored(usable.groupBy("key").agg(F.min("doc_id").alias("node")), "classes")
+    classes = usable.join(first.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     lists = stored(inverted_rows(classes, percent), "lists")
     partners = group_members(in_blocks(lists, "gram", "doc_id", LIST_BLOCK), percent)
     gathered = stored(connected_components(partners), "gathered")
@@ -374,9 +323,6 @@ def near_duplicates(
     )
     links = verified_links(in_blocks(texts, "group", "doc_id", GROUP_BLOCK), n, percent)
     parts = connected_components(links)
-    first = sizes.filter("key IS NOT NULL AND doc_id IS NOT NULL").groupBy("key").agg(
-        F.min("doc_id").alias("node")
-    )
     known = first.join(parts, "node", "left").select(
         "key", F.coalesce("component_id", "node").alias("component")
     )

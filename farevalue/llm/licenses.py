@@ -19,13 +19,12 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import UPPER, lower_ascii, select_text, slices, stored
+from farevalue.llm.common import lower_ascii, select_text, slices, stored
 from farevalue.llm.license_templates import NOTICES, PHRASES
 
 # Words: letters, digits and everything outside ASCII, after lower-casing A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WORD_RE = re.compile(WORD)
-LOWER = str.maketrans(UPPER, UPPER.lower())
 K = 3
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 
@@ -44,7 +43,7 @@ def default_notices() -> list[tuple[str, str, bool]]:
 
 
 def words_of(text: str) -> list[str]:
-    return WORD_RE.findall(text.translate(LOWER))
+    return WORD_RE.findall(text.encode().lower().decode())
 
 
 class WordHashes(dict):

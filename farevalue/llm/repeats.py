@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import WORD_RE, groups, slices, stored
+from farevalue.llm.common import WORD_RE, groups, roll, slices, stored, words_of
 
 LENGTH = 20
 
@@ -39,37 +40,42 @@ CHUNK = 8
 # by their own content.
 HOT = 20_000
 
-MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-MIX = np.uint64(0xD6E8FEB86659FD93)
+# Positions share a number with the hash in the search for anchors.
+POSITION_BITS = 24
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, each computed once."""
-
-    def __missing__(self, word: str) -> int:
-        self[word] = value = xxhash.xxh3_64_intdigest(word.encode())
-        return value
-
-
-def runs_of(words: list[str], length: int, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
+def runs_of(words: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
     """``(anchors, starts)`` of the runs; ``starts`` ends with the number of windows."""
     windows = len(words) - length + 1
     if windows < 1:
         return np.empty(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
     n = min(ANCHOR, length)
-    single = np.fromiter(map(hashes.__getitem__, words), dtype=np.uint64, count=len(words))
-    rolled = np.zeros(len(words) - n + 1, dtype=np.uint64)
-    for j in range(n):
-        rolled = rolled * MULTIPLIER + single[j : len(words) - n + 1 + j]
-    rolled ^= rolled >> np.uint64(32)
-    rolled *= MIX
-    rolled ^= rolled >> np.uint64(32)
-    inside = np.lib.stride_tricks.sliding_window_view(rolled, length - n + 1)
-    chosen = np.arange(windows) + inside.argmin(axis=1)
+    rolled = roll(words, n)
+    chosen = leftmost_lowest(rolled, length - n + 1)
     starts = np.flatnonzero(np.diff(chosen, prepend=-1))
     return rolled[chosen[starts]], np.append(starts, windows)
 
 
+def leftmost_lowest(values: np.ndarray, width: int) -> np.ndarray:
+    """For every window of ``width`` values, where its lowest is, by the upper 40 bits.
+
+    Of equal ones the leftmost counts, so the choice depends on the window alone.
+    """
+    upper = values >> np.uint64(POSITION_BITS)
+    if len(values) >> POSITION_BITS:
+        inside = np.lib.stride_tricks.sliding_window_view(upper, width)
+        return np.arange(len(inside)) + inside.argmin(axis=1)
+    places = np.arange(len(values), dtype=np.uint64)
+    lowest = upper << np.uint64(POSITION_BITS) | places
+    reach = 1
+    while 2 * reach <= width:
+        lowest = np.minimum(lowest[:-reach], lowest[reach:])
+        reach *= 2
+    if reach < width:
+        lowest = np.minimum(lowest[: len(lowest) - width + reach], lowest[width - reach :])
+    return (lowest & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
+
+
 def chunks_of(anchors: np.ndarray) -> np.ndarray:
     """The first run of every chunk, and the number of runs."""
     begins = np.flatnonzero(anchors % np.uint64(CHUNK) == 0)
@@ -79,13 +85,13 @@ def chunks_of(anchors: np.ndarray) -> np.ndarray:
 
 
 def chunk_keys(
-    words: list[str], starts: np.ndarray, chunks: np.ndarray, length: int
+    words: list[bytes], starts: np.ndarray, chunks: np.ndarray, length: int
 ) -> list[tuple[int, int]]:
     """128-bit hashes of the words of every chunk, as two signed numbers."""
     keys = []
     for first, end in zip(chunks, chunks[1:], strict=False):
-        part = " ".join(words[starts[first] : starts[end] + length - 1])
-        digest = hashlib.blake2b(part.encode(), digest_size=16).digest()
+        part = b" ".join(words[starts[first] : starts[end] + length - 1])
+        digest = hashlib.blake2b(part, digest_size=16).digest()
         keys.append(tuple(int.from_bytes(digest[k : k + 8], signed=True) for k in (0, 8)))
     return keys
 
@@ -98,11 +104,10 @@ def marks(rows: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            hashes = WordHashes()
             out: list[list[np.ndarray]] = [[], [], [], [], []]
             for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = WORD_RE.findall(text or "")
-                anchors, starts = runs_of(words, length, hashes)
+                words = words_of(text)
+                anchors, starts = runs_of(words, length)
                 if doc is None or not len(anchors):
                     continue
                 chunks = chunks_of(anchors)
@@ -235,12 +240,11 @@ def candidate_runs(marked: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            hashes = WordHashes()
             rows = []
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "single", "new"))
             for doc, text, single, new in zip(*columns, strict=True):
-                words = WORD_RE.findall(text or "")
-                anchors, starts = runs_of(words, length, hashes)
+                words = words_of(text)
+                anchors, starts = runs_of(words, length)
                 if doc is None or not len(anchors):
                     continue
                 wanted = ~np.isin(starts[:-1], single or [])
@@ -248,7 +252,7 @@ def candidate_runs(marked: DataFrame, length: int) -> DataFrame:
                     wanted[first:end] = False
                 for r in np.flatnonzero(wanted):
                     part = words[starts[r] : starts[r + 1] + length - 1]
-                    rows.append((int(anchors[r].view(np.int64)), doc, int(starts[r]), " ".join(part)))
+                    rows.append((int(anchors[r].view(np.int64)), doc, int(starts[r]), b" ".join(part).decode()))
             if rows:
                 kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
                 yield pa.record_batch(
@@ -260,7 +264,7 @@ def candidate_runs(marked: DataFrame, length: int) -> DataFrame:
 
 
 def old_chunks(
-    words: list[str], anchors: np.ndarray, starts: np.ndarray, new: list[int], length: int
+    words: list[bytes], anchors: np.ndarray, starts: np.ndarray, new: list[int], length: int
 ) -> Iterator[tuple[int, int]]:
     """Runs ``(first, end)`` of the chunks that stand earlier in the corpus."""
     chunks = chunks_of(anchors)
@@ -400,13 +404,12 @@ def remove_repeats(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            hashes = WordHashes()
             totals, removed, texts = [], [], []
             columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "new", "spans"))
             for doc, text, new, found in zip(*columns, strict=True):
-                words = WORD_RE.findall(text or "")
+                words = words_of(text)
                 stays = np.ones(len(words), dtype=bool)
-                anchors, starts = runs_of(words, length, hashes)
+                anchors, starts = runs_of(words, length)
                 if doc is not None and len(anchors):
                     for first, end in old_chunks(words, anchors, starts, new or [], length):
                         stays[starts[first] : starts[end] + length - 1] = False
@@ -417,7 +420,7 @@ def remove_repeats(
                 if layout:
                     texts.append(text if stays.all() else cut_words(text, stays))
                 else:
-                    texts.append(" ".join([words[i] for i in np.flatnonzero(stays)]))
+                    texts.append(b" ".join(compress(words, stays)).decode())
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from farevalue.llm import embeddings, jaccard
-from farevalue.llm.common import groups, slices
+from farevalue.llm.common import UPPER, WORD_RE, groups, slices
 from farevalue.llm.components import Forest, connected_components
 
 
@@ -48,7 +48,8 @@ def test_slices_and_groups_keep_all_rows():
 
 
 def shingles(text, n):
-    words = [w for w in jaccard.WORD_RE.findall((text or "").translate(jaccard.LOWER))]
+    lower = str.maketrans(UPPER, UPPER.lower())
+    words = WORD_RE.findall((text or "").translate(lower))
     if not words:
         return set()
     return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))}

@@ -4,8 +4,8 @@ import os
 
 import corpus_pipeline
 import pytest
-from farevalue.llm import jaccard, queries, repeats, secrets, toxicity
-from farevalue.llm.common import stored
+from farevalue.llm import queries, repeats, secrets, toxicity
+from farevalue.llm.common import WORD_RE, stored, words_of
 from test_links import plain_components, shingles
 from test_repeats import plain_removed
 
@@ -93,4 +93,6 @@ def test_empty_documents(spark, tmp_path):
 
 
 def test_shared_word_pattern():
-    assert jaccard.WORD_RE.findall("a\x0bb\x1cc\xa0d  e") == ["a", "b\x1cc\xa0d", "e"]
+    text = "A\x0bb\x1cc\xa0d  É\x85e\x0c\x00f\u2003g"
+    assert [w.decode() for w in words_of(text)] == WORD_RE.findall(text)
+    assert words_of(text, lower=True)[:3] == ["a".encode(), "b\x1cc\xa0d".encode(), "É\x85e".encode()]

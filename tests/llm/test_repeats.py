@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from farevalue.llm import repeats
 
@@ -101,3 +102,14 @@ def test_covered_spans_are_maximal():
     assert repeats.covered([0, 1, 2, 3, 4, 1, 2, 3], 3) == [(1, 8)]
     assert repeats.covered([1, 2, 3, 0, 0, 1, 2, 3], 3) == [(0, 3), (5, 8)]
     assert repeats.covered([], 3) == []
+
+
+def test_lowest_of_a_window_is_the_leftmost(monkeypatch):
+    rng = np.random.default_rng(13)
+    for width in (1, 2, 3, 15, 16):
+        values = rng.integers(0, 4, 60).astype(np.uint64) << np.uint64(40)
+        expected = [i + int(np.argmin(values[i : i + width])) for i in range(60 - width + 1)]
+        assert repeats.leftmost_lowest(values, width).tolist() == expected
+        with monkeypatch.context() as patch:
+            patch.setattr(repeats, "POSITION_BITS", 5)
+            assert repeats.leftmost_lowest(values, width).tolist() == expected
