@@ -59,10 +59,26 @@ def _as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(plain)
 
 
+_SHARED: dict[tuple[str, str, str], str] = {}
+
+
+def _shared(
+    spark: SparkSession, sf_dir: str, label: str, make: Callable[[], DataFrame]
+) -> DataFrame:
+    """A table that several queries start from, written once per session and folder."""
+    key = (spark.sparkContext.applicationId, sf_dir, label)
+    if key not in _SHARED:
+        path = scratch_path(spark, label)
+        overwrite(make(), path)
+        _SHARED[key] = path
+    return read_table(spark, _SHARED[key])
+
+
 def gold_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Gold in one lazy plan. The job stores cash and awards before it joins them."""
-    cash = cash_fares(spark, sf_dir)
-    return value_fares(cash, price_awards(cash))
+    """Gold from stored cash and awards, stored itself: what the job does."""
+    cash = _shared(spark, sf_dir, "cash", lambda: cash_fares(spark, sf_dir))
+    awards = _shared(spark, sf_dir, "awards", lambda: price_awards(cash))
+    return _shared(spark, sf_dir, "gold", lambda: value_fares(cash, awards))
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -285,7 +301,7 @@ _DRIFTED = """drifted AS (SELECT * EXCLUDE (currency),
  cast(cast(round(cash_price) AS bigint) AS string) AS points_required FROM cash)"""
 _SCHEMA_ROWS = " UNION ALL ".join(
     [
-        f"""SELECT NULL AS flight_id, 'SCHEMA_MISSING_COLUMN' AS check_name, 'error' AS severity,
+        f"""SELECT cast(NULL AS string) AS flight_id, 'SCHEMA_MISSING_COLUMN' AS check_name, 'error' AS severity,
  '{name}' AS field_name, 'Required column ''{name}'' is missing.' AS message,
  cast(NULL AS string) AS observed_value"""
         for name in _ABSENT
@@ -391,8 +407,7 @@ def q_null_rate_flags(spark, sf_dir):
 {_counted(f"{_all_flags('gold')} UNION ALL {_RATE_FLAG_COUNTS}")}"""
 )
 def q_validate_all(spark, sf_dir):
-    gold = _stored(gold_fares(spark, sf_dir), "gold")
-    return _count_flags(quality.validate(gold, GOLD, RUN.run_id).flags)
+    return _count_flags(quality.validate(gold_fares(spark, sf_dir), GOLD, RUN.run_id).flags)
 
 
 # Serving
