@@ -84,6 +84,36 @@ def roll(words: list[bytes], n: int) -> np.ndarray:
     return rolled ^ (rolled >> np.uint64(32))
 
 
+# 64-bit words of the bitmap of ids that ``with_sieve`` broadcasts: 1 MB whatever the input.
+SIEVE_WORDS = 1 << 17
+
+
+def with_sieve(rows: DataFrame, id_column: str, ids: DataFrame) -> tuple[DataFrame, str]:
+    """``rows`` with a column, whose name is given too, that is false if the id is surely
+    not in ``ids``, a table of one column.
+
+    What remains for a join with ``ids`` is then mostly what it will keep. More ids make
+    the sieve coarser, never larger and never wrong.
+    """
+
+    def place(column: Column) -> tuple[Column, Column]:
+        number = F.pmod(F.xxhash64(column.cast("long")), F.lit(64 * SIEVE_WORDS))
+        return F.floor(number / 64).cast("int"), (number % 64).cast("int")
+
+    one = F.lit(1).cast("long")
+    word, bit = place(ids[ids.columns[0]])
+    key, bits, found = (fresh_name(rows, n) for n in ("sieve_word", "sieve_bits", "sieved"))
+    marks = ids.groupBy(word.alias(key)).agg(F.bit_or(F.call_function("shiftleft", one, bit)).alias(bits))
+    word, bit = place(F.col(f"`{id_column}`"))
+    has = F.call_function("shiftright", F.col(bits), bit).bitwiseAND(one) == 1
+    marked = (
+        rows.withColumn(key, word)
+        .join(F.broadcast(marks), key, "left")
+        .withColumn(found, F.coalesce(has, F.lit(False)))
+    )
+    return marked.select(*(F.col(f"`{c}`") for c in rows.columns), found), found
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z in lower case and everything else unchanged."""
     return F.translate(text, UPPER, UPPER.lower())

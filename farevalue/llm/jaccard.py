@@ -28,7 +28,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import fresh_name, groups, roll, select_text, slices, stored, words_of
+from farevalue.llm.common import (
+    fresh_name,
+    groups,
+    roll,
+    select_text,
+    slices,
+    stored,
+    with_sieve,
+    words_of,
+)
 from farevalue.llm.components import Forest, connected_components
 
 # Bits of the parity bitmap. Lists and groups beyond a block are compared in pairs of blocks.
@@ -318,8 +327,12 @@ def near_duplicates(
     lists = stored(inverted_rows(classes, percent), "lists")
     partners = group_members(in_blocks(lists, "gram", "doc_id", LIST_BLOCK), percent)
     gathered = stored(connected_components(partners), "gathered")
-    texts = rows.join(gathered.withColumnRenamed("node", "doc_id"), "doc_id").select(
-        F.col("component_id").alias("group"), "doc_id", "text"
+    grouped = gathered.withColumnRenamed("node", "doc_id")
+    sieved, found_in = with_sieve(rows, "doc_id", grouped.select("doc_id"))
+    texts = (
+        sieved.filter(F.col(found_in))
+        .join(grouped, "doc_id")
+        .select(F.col("component_id").alias("group"), "doc_id", "text")
     )
     links = verified_links(in_blocks(texts, "group", "doc_id", GROUP_BLOCK), n, percent)
     parts = connected_components(links)
@@ -346,4 +359,10 @@ def keep_one(
     found = near_duplicates(docs, n, percent, id_column, text_column)
     gone = fresh_name(docs, "gone")
     lost = found.filter("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(lost, F.col(f"`{id_column}`").cast("long") == F.col(gone), "left_anti")
+    lost = stored(lost, "lost")
+    sieved, in_lost = with_sieve(docs, id_column, lost)
+    doubtful = sieved.filter(F.col(in_lost)).join(
+        lost, F.col(f"`{id_column}`").cast("long") == F.col(gone), "left_anti"
+    )
+    kept = sieved.filter(~F.col(in_lost)).union(doubtful)
+    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
