@@ -114,6 +114,20 @@ def with_sieve(rows: DataFrame, id_column: str, ids: DataFrame) -> tuple[DataFra
     return marked.select(*(F.col(f"`{c}`") for c in rows.columns), found), found
 
 
+def without_ids(rows: DataFrame, id_column: str, ids: DataFrame) -> DataFrame:
+    """The rows whose id is not in ``ids``, a stored table of one column; null ids stay.
+
+    Only rows that the sieve leaves in doubt are shuffled.
+    """
+    sieved, doubtful = with_sieve(rows, id_column, ids)
+    gone = fresh_name(sieved, "gone")
+    named = ids.select(F.col(ids.columns[0]).alias(gone))
+    same = F.col(f"`{id_column}`").cast("long") == F.col(gone)
+    tried = sieved.filter(F.col(doubtful)).join(named, same, "left_anti")
+    kept = sieved.filter(~F.col(doubtful)).union(tried)
+    return kept.select(*(F.col(f"`{c}`") for c in rows.columns))
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z in lower case and everything else unchanged."""
     return F.translate(text, UPPER, UPPER.lower())

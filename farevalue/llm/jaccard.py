@@ -29,13 +29,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farevalue.llm.common import (
-    fresh_name,
     groups,
     roll,
     select_text,
     slices,
     stored,
     with_sieve,
+    without_ids,
     words_of,
 )
 from farevalue.llm.components import Forest, connected_components
@@ -323,7 +323,15 @@ def near_duplicates(
     sizes = found.select("doc_id", F.col("size").alias("n_shingles"), "key")
     usable = found.filter("key IS NOT NULL AND doc_id IS NOT NULL")
     first = stored(usable.groupBy("key").agg(F.min("doc_id").alias("node")), "classes")
-    classes = usable.join(first.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
+    nodes = first.select(F.col("node").alias("doc_id"))
+    copies = (
+        usable.select("doc_id", "key")
+        .join(first, "key")
+        .filter("doc_id != node")
+        .select("doc_id")
+        .join(nodes, "doc_id", "left_anti")
+    )
+    classes = without_ids(usable, "doc_id", stored(copies, "copies"))
     lists = stored(inverted_rows(classes, percent), "lists")
     partners = group_members(in_blocks(lists, "gram", "doc_id", LIST_BLOCK), percent)
     gathered = stored(connected_components(partners), "gathered")
@@ -357,12 +365,5 @@ def keep_one(
     Rows without an id stay, and all rows of an id that stays.
     """
     found = near_duplicates(docs, n, percent, id_column, text_column)
-    gone = fresh_name(docs, "gone")
-    lost = found.filter("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
-    lost = stored(lost, "lost")
-    sieved, in_lost = with_sieve(docs, id_column, lost)
-    doubtful = sieved.filter(F.col(in_lost)).join(
-        lost, F.col(f"`{id_column}`").cast("long") == F.col(gone), "left_anti"
-    )
-    kept = sieved.filter(~F.col(in_lost)).union(doubtful)
-    return kept.select(*(F.col(f"`{c}`") for c in docs.columns))
+    lost = found.filter("doc_id != component_id").select("doc_id").distinct()
+    return without_ids(docs, id_column, stored(lost, "lost"))
