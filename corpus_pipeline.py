@@ -15,6 +15,9 @@ from farevalue.llm.common import stored
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 
+# Words whose ids a worker remembers; workers of the earlier stages hold memory already.
+WORDS = 200_000
+
 
 def count_chars(docs: DataFrame) -> DataFrame:
     if "n_chars" not in docs.columns:
@@ -48,7 +51,7 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pack what is left into training sequences; one row per piece."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, TOKENIZER, memory=WORDS)
 
 
 STAGES = [

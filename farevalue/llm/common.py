@@ -19,7 +19,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 WORD_RE = re.compile(WORD)
 
 # Word hashes that one Python worker remembers; the memory starts anew when full.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
 
 # Bytes of text that a task turns into Python objects at a time.
 SLICE_BYTES = 1_000_000

@@ -92,8 +92,8 @@ def lower_latin(text: str) -> bytes:
 
 
 @lru_cache(maxsize=2)
-def load_word_ids(tokenizer_file: str) -> WordIds:
-    return WordIds(tokenizer_file)
+def load_word_ids(tokenizer_file: str, memory: int) -> WordIds:
+    return WordIds(tokenizer_file, memory)
 
 
 def tokenize_pieces(
@@ -104,19 +104,20 @@ def tokenize_pieces(
     id_column: str = "doc_id",
     text_column: str = "text",
     keep_ids: bool = False,
+    memory: int = MEMORY,
 ) -> DataFrame:
     """Cut every document's ids, with ``end_id`` behind them, into pieces of ``capacity``.
 
     Returns ``doc_id, piece, start, length, ids_crc32`` and with ``keep_ids`` the ids
     as bytes. A null or empty text is the end id alone; repeated rows are documents
-    of their own.
+    of their own. A worker remembers the ids of ``memory`` words, at some 150 bytes each.
     """
     end = np.array([end_id], dtype="<u4").tobytes()
     width = 4 * capacity
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = load_word_ids(tokenizer_file)
+        words = load_word_ids(tokenizer_file, memory)
         for batch in slices(batches, "text"):
             ids, numbers, starts, lengths, sums, raw = [], [], [], [], [], []
             encoded = words.encode([t or "" for t in batch.column(1).to_pylist()])
