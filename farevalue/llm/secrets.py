@@ -32,8 +32,10 @@ KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 LEAST_ASSIGN, LEAST_ACCESS = 6, 20
 KINDS = ("assign", "access", "hex", "random")
 
-# Tokens that the battery tests: long runs of the characters of base64 and its URL form.
-TOKEN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}={0,2}(?![A-Za-z0-9+/_=-])")
+# Tokens that the battery tests: long runs of the characters of base64 and its URL form,
+# whatever stands around them. An equals sign belongs to a token as padding at its end only
+# (base32 has up to six); before or inside a stretch it parts a name from a value.
+TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")
 
 # Alphabets by name, narrowest first: a token has the first that holds all its characters.
 ALPHABETS = {

@@ -92,3 +92,16 @@ def test_span_text(spark, documents):
 
 def test_overlapping_spans_are_replaced_once():
     assert secrets.redact("abcdefgh", [(1, 4), (2, 6), (7, 8)], "_") == "a_g_"
+
+
+def test_values_behind_and_names_before_an_equals_sign_are_tested():
+    value = "Zx81kQpL09vTmR4sWy7BnE2"
+    for text in (
+        f"AUTH_KEY={value}", f"export AUTH_KEY='x'\nSIG={value}\n", f"https://x.io/a?sig={value}&n=1", f"?a=1&sig={value}",
+        f"={value}", f"{value}=on", f"a={value}=b", f"key = {value}", f"<{value}>", f"{value}{'=' * 7}",
+    ):
+        at = text.index(value)
+        assert [t[:2] for t in secrets.tested_tokens(text, [])] == [(at, at + len(value))], text
+    for pads in range(7):  # base32 pads with up to six
+        padded = "MZXW6YTBOI2345ABCDEF7" + "=" * pads
+        assert [t[:2] for t in secrets.tested_tokens(f"n={padded}", [])] == [(2, 2 + len(padded))]
