@@ -55,6 +55,11 @@ DISCOVERY_RATE = 0.05
 BINS, BIN_WIDTH = 600, 0.05
 BANDS = 16
 
+# The first bin that may be discarded: p of at most 0.01. Weights only choose among these, so
+# whatever else there is, few random tokens of any length are lost: about two in a hundred, as
+# runs and serial correlation go together, which Fisher's method does not know.
+LEAST_BIN = 40
+
 
 def _normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
@@ -184,13 +189,16 @@ def discard_bins(counts: dict[tuple[int, int], int], rate: float = DISCOVERY_RAT
     ``counts`` has the number of tokens by band and bin over all documents. This is the
     step-up rule on p-values weighted by length, with weights that average to one over
     the tokens; a bin's largest p-value stands for all of it, which only discards less.
+    A p-value before ``LEAST_BIN`` is never significant, however much its token weighs.
     """
     total = sum(counts.values())
     if not total:
         return [BINS] * BANDS
     mean = sum(n * 2**band for (band, _), n in counts.items()) / total
     levels = sorted(
-        (10 ** (-b * BIN_WIDTH) * mean / 2**band, band, b, n) for (band, b), n in counts.items()
+        (10 ** (-b * BIN_WIDTH) * mean / 2**band, band, b, n)
+        for (band, b), n in counts.items()
+        if b >= LEAST_BIN
     )
     seen, level = 0, -1.0
     for weighted, _, _, n in levels:

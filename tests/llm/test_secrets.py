@@ -105,3 +105,19 @@ def test_values_behind_and_names_before_an_equals_sign_are_tested():
     for pads in range(7):  # base32 pads with up to six
         padded = "MZXW6YTBOI2345ABCDEF7" + "=" * pads
         assert [t[:2] for t in secrets.tested_tokens(f"n={padded}", [])] == [(2, 2 + len(padded))]
+
+
+def test_long_random_tokens_stay_beside_many_short_ones_that_are_not_random():
+    rng = random.Random(8)
+    counts, places = {(4, 120): 10_000}, {}
+    for n in (64, 128, 256, 512, 1000, 2000):
+        for _ in range(60):
+            (_, _, b, band), = secrets.tested_tokens(token(rng, secrets.ALPHABETS["base62"], n), [])
+            places.setdefault(n, []).append((band, b))
+            counts[band, b] = counts.get((band, b), 0) + 1
+    first = secrets.discard_bins(counts)
+    assert first[4] <= 120  # those that are not random go
+    for n, found in places.items():
+        assert sum(b >= first[band] for band, b in found) <= 3, n
+    # However long a token is and whatever the others are, p = 1 is never significant.
+    assert min(secrets.discard_bins({(4, 599): 10**9, **{(band, 0): 1 for band in range(16)}})) >= 1
