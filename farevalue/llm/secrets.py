@@ -2,7 +2,8 @@
 
 The battery takes every long token, infers its encoding from its characters, and
 tests the hypothesis that it is random in that alphabet: chi-squared uniformity, runs
-above and below the middle, and serial correlation, combined by Fisher's method. Over
+above and below the middle, serial correlation, and the share of letters that are frequent
+in prose, combined by Fisher's method. No token is left out before the tests. Over
 all documents the tokens that are *not* random are then found with control of the
 false-discovery rate, weighted by length because short tokens cannot show much; what
 remains is reported. The control needs only counts in a fixed number of bins.
@@ -35,20 +36,34 @@ KINDS = ("assign", "access", "hex", "random")
 # Tokens that the battery tests: long runs of the characters of base64 and its URL form,
 # whatever stands around them. An equals sign belongs to a token as padding at its end only
 # (base32 has up to six); before or inside a stretch it parts a name from a value.
+LEAST_TOKEN = 20
 TOKEN = re.compile(r"[A-Za-z0-9+/_-]{20,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")
 
+# What stands between slashes is tested by itself too: a slash may be a digit of base64 or
+# part the key from the rest of a path.
+PART = re.compile(r"[A-Za-z0-9+_-]{20,}={0,6}")
+
 # Alphabets by name, narrowest first: a token has the first that holds all its characters.
+# The last holds every character of a token.
 ALPHABETS = {
+    "decimal": "0123456789",
     "hex": "0123456789abcdef",
     "HEX": "0123456789ABCDEF",
+    "lower": "abcdefghijklmnopqrstuvwxyz",
+    "UPPER": "ABCDEFGHIJKLMNOPQRSTUVWXYZ",
     "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567",
     "base36": "0123456789abcdefghijklmnopqrstuvwxyz",
     "BASE36": "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ",
+    "letters": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz",
     "base62": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
     "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
     "base64url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/-_",
 }
 
+# Letters that make up most of the text of European languages.
+FREQUENT = frozenset("etaoinsrETAOINSR")
+
 # Share of truly random tokens among those that the control discards, bins of -log10 p
 # (the last takes everything beyond) and bands of length, each twice the one before.
 DISCOVERY_RATE = 0.05
@@ -73,16 +88,31 @@ def _chi2_tail(x: float, degrees: int) -> float:
     return _normal_tail(((x / degrees) ** (1 / 3) - 1 + spread) / math.sqrt(spread))
 
 
+def alphabet_of(token: str) -> str:
+    """The narrowest alphabet of ``token``."""
+    body = set(token.rstrip("="))
+    return next(name for name, letters in ALPHABETS.items() if body <= set(letters))
+
+
 def encoding_of(token: str) -> str | None:
     """The narrowest alphabet of ``token``; None unless it mixes letters and digits."""
-    body = set(token.rstrip("="))
-    if not any(c.isdigit() for c in body) or not any(c.isalpha() for c in body):
+    if not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
         return None
-    return next((name for name, letters in ALPHABETS.items() if body <= set(letters)), None)
+    return alphabet_of(token)
 
 
-def battery(token: str, encoding: str) -> tuple[float, float, float]:
-    """p-values of uniformity, runs and serial correlation if ``token`` is random."""
+def prose(token: str, letters: str) -> float:
+    """p-value of so many frequent letters among all letters if ``token`` is random."""
+    n = sum(map(str.isalpha, token))
+    if not n:
+        return 1.0
+    share = sum(c in FREQUENT for c in letters) / sum(map(str.isalpha, letters))
+    seen = sum(c in FREQUENT for c in token)
+    return _normal_tail((seen - 0.5 - n * share) / math.sqrt(n * share * (1 - share)))
+
+
+def battery(token: str, encoding: str) -> tuple[float, float, float, float]:
+    """p-values of uniformity, runs, serial correlation and prose if ``token`` is random."""
     letters = ALPHABETS[encoding]
     values = np.array([letters.index(c) for c in token.rstrip("=")], dtype=float)
     n, size = len(values), len(letters)
@@ -100,18 +130,18 @@ def battery(token: str, encoding: str) -> tuple[float, float, float]:
         runs = 2.0 ** (1 - n)
     centred = values - values.mean()
     power = float((centred**2).sum())
-    serial = 0.0
+    serial = float(size) ** (1 - n)  # all are equal
     if power:
         correlation = float((centred[1:] * centred[:-1]).sum()) / power
         serial = 2 * _normal_tail(abs(correlation + 1 / n) * math.sqrt(n))
-    return uniform, runs, serial
+    return uniform, runs, serial, prose(token, letters)
 
 
 def combined(token: str, encoding: str) -> float:
     """Fisher's combination of the battery, as a p-value of being random."""
     half = -sum(math.log(max(p, 1e-300)) for p in battery(token, encoding))
-    # The tail of chi-squared with six degrees has a closed form.
-    return min(1.0, math.exp(-half) * (1 + half + half * half / 2))
+    # The tail of chi-squared with eight degrees has a closed form.
+    return min(1.0, math.exp(-half) * (1 + half + half**2 / 2 + half**3 / 6))
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -134,15 +164,47 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def candidates(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
+    """A stretch of token characters and the long parts between its slashes, each to be tested."""
+    whole = text[start:end]
+    parts = [m for m in PART.finditer(whole) if m.group() != whole] if "/" in whole else []
+    return [(start, end, whole), *((start + m.start(), start + m.end(), m.group()) for m in parts)]
+
+
 def tested_tokens(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """``(start, end, bin, band)`` of tokens outside the ``known`` spans."""
+    """``(start, end, bin, band)`` of tokens and of the parts between their slashes.
+
+    Of a token that the sorted ``known`` spans overlap, what they leave is tested: stretches
+    of ``LEAST_TOKEN`` characters by themselves, shorter ones together, however short that
+    is. A short stretch before an assignment is judged with the name that it begins.
+    """
     found = []
+    at = 0  # of the known spans, those before end before the token
+    reached = 0  # end of what the passed spans cover
     for m in TOKEN.finditer(text):
-        encoding = encoding_of(m.group())
-        if encoding and not any(s < m.end() and m.start() < e for s, _, e in known):
-            depth = -math.log10(max(combined(m.group(), encoding), 1e-300))
-            band = min(BANDS - 1, int(math.log2(m.end() - m.start())))
-            found.append((m.start(), m.end(), min(BINS - 1, int(depth / BIN_WIDTH)), band))
+        start, end = m.span()
+        free, names, place = [], [], max(start, reached)
+        while at < len(known) and known[at][0] < end:
+            if known[at][0] > place:
+                free.append((place, known[at][0]))
+                if known[at][1] == 0:
+                    names.append(free[-1])
+            reached = max(reached, known[at][2])
+            place = max(place, reached)
+            at += 1
+        if place < end:
+            free.append((place, end))
+        tests = []
+        for s, e in free:
+            if e - s >= LEAST_TOKEN:
+                tests += candidates(text, s, e)
+        short = [(s, e) for s, e in free if e - s < LEAST_TOKEN and text[s:e].strip("+/=_-")]
+        rest = "".join(text[s:e] for s, e in short if (s, e) not in names)
+        tests += [(s, e, m.group() if (s, e) in names else rest) for s, e in short]
+        for s, e, judged in tests:
+            depth = -math.log10(max(combined(judged, alphabet_of(judged)), 1e-300))
+            band = min(BANDS - 1, int(math.log2(len(judged))))
+            found.append((s, e, min(BINS - 1, int(depth / BIN_WIDTH)), band))
     return found
 
 
@@ -224,7 +286,8 @@ def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
     Kinds are numbers into ``KINDS``. A null or empty text has no spans; repeated rows
     and null ids are scanned like others, and each token counts once for every row
-    that holds it. The texts are read once; the driver gets at most BANDS * BINS counts.
+    that holds it. Spans may overlap: a value and the hex run in it, or a token and a part
+    between its slashes that is random by itself. The texts are read once; the driver gets at most BANDS * BINS counts.
     """
     found = stored(scan(docs, id_column, text_column), "secrets")
     first = F.array(*map(F.lit, discard_bins(count_bins(found))))

@@ -121,3 +121,58 @@ def test_long_random_tokens_stay_beside_many_short_ones_that_are_not_random():
         assert sum(b >= first[band] for band, b in found) <= 3, n
     # However long a token is and whatever the others are, p = 1 is never significant.
     assert min(secrets.discard_bins({(4, 599): 10**9, **{(band, 0): 1 for band in range(16)}})) >= 1
+
+
+def reported(text):
+    """The characters of ``text`` in fixed patterns or in tokens with p above 0.01."""
+    base = secrets.base_spans(text)
+    spans = [(s, e) for s, _, e in base]
+    spans += [(s, e) for s, e, b, _ in secrets.tested_tokens(text, base) if b < 40]
+    return {i for s, e in spans for i in range(s, e)}
+
+
+def test_random_tokens_of_every_mix_of_characters_are_reported():
+    rng = random.Random(9)
+    lower, digits, hexes = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789abcdef"
+    base62 = lower + lower.upper() + digits
+
+    def made(letters, n):
+        return "".join(rng.choices(letters, k=n))
+
+    forms = {
+        "letters": lambda: (made(lower + lower.upper(), 20), "x {} y"),
+        "lower": lambda: (made(lower, 40), "x {} y"),
+        "UPPER": lambda: (made(lower.upper(), 20), "x {} y"),
+        "decimal": lambda: (made(digits, 22), "x {} y"),
+        "mixed": lambda: (made(base62 + "+/-_", 60), "x {} y"),
+        "path": lambda: (made(base62 + "-_", 32), "https://hooks.x.com/services/T0AB/{}"),
+        "long path": lambda: (made(base62, 24), "https://x.com/services/incoming/notifications/settings/{}"),
+        "before hex": lambda: (made(base62, 24), f"x {{}}Z{made(hexes, 24)} y"),
+        "short before hex": lambda: (made(base62, 19), f"x {{}}Z{made(hexes, 24)} y"),
+        "after access": lambda: (made(base62, 12), f"x AKIA{made(lower.upper(), 16)}z{{}} y"),
+    }
+    for name, form in forms.items():
+        whole = 0
+        for _ in range(40):
+            key, text = form()
+            at = text.index("{}")
+            whole += set(range(at, at + len(key))) <= reported(text.replace("{}", key))
+        assert whole >= 36, (name, whole)
+    assert reported("x com/services/T0AB/x9_KdPq71LmZ44 y") == set(range(2, 34))
+
+
+def test_both_ends_of_a_key_around_a_hex_run_are_reported():
+    key = "x9KdPq71LmZs" + "0123456789abcdef89abcdef" + "Z4vTmR4sWy7B"
+    assert reported(f"a {key} b") == set(range(2, 2 + len(key)))
+    # What stands around is no key: the rest of a name, padding, separators.
+    assert reported("production_master_password=abcdef") == set(range(18, 33))
+    assert reported("/" + "f0" * 12 + "==") == set(range(1, 25))
+
+
+def test_ordinary_long_words_and_names_are_not_reported():
+    for text in (
+        "internationalization of disestablishmentarianism", "Straßenbahnhaltestellenansagentexterinnen",
+        "see documentation/reference/installation-instructions", "this_is_a_rather_long_name_of_an_option",
+        "-" * 40, "_" * 25, "/" * 30, "+-----+-----+-----+-----+", "00000000000000000000000",
+    ):
+        assert not [t for t in secrets.tested_tokens(text, []) if t[2] < 40], text
