@@ -13,6 +13,8 @@ through a shard's automaton is only what may repeat.
 2. The other runs are sent to the shard of their anchor in the order of the corpus.
    There each run streams through the automaton of the runs before it. The matching
    statistics give the maximal spans of at least the window length.
+   Runs of very frequent anchors become single windows, whose first places are found in
+   two steps by hash, so that no group grows with the copies of a window.
 3. The spans return to their documents.
 """
 
@@ -24,7 +26,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +39,9 @@ ANCHOR = 6
 CHUNK = 8
 
 # Anchors that occur more often have their runs cut into single windows, which are dealt
-# by their own content.
+# by their own content and, as one window may be all there is, by their place as well.
 HOT = 20_000
+DEALS = 1024
 
 # Positions share a number with the hash in the search for anchors.
 POSITION_BITS = 24
@@ -278,11 +281,17 @@ def old_chunks(
             yield first, end
 
 
+def window_key(window: str) -> tuple[int, int]:
+    """128-bit hash of the words of a window, as two signed numbers."""
+    digest = hashlib.blake2b(window.encode(), digest_size=16).digest()
+    return tuple(int.from_bytes(digest[k : k + 8], signed=True) for k in (0, 8))
+
+
 def cut_hot(runs: DataFrame, hot: DataFrame, length: int) -> DataFrame:
-    """Add ``part``: 0, and for hot anchors one number for each window's content.
+    """Add ``one, two``: 0, and for hot anchors a hash of each window's words.
 
-    Their runs become single windows, so that equal ones still meet while the others
-    spread over all tasks.
+    Their runs become single windows, which leave their words behind, so that different
+    ones spread over all tasks.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -294,48 +303,117 @@ def cut_hot(runs: DataFrame, hot: DataFrame, length: int) -> DataFrame:
                 if is_hot:
                     words = text.split(" ")
                     for k in range(len(words) - length + 1):
-                        window = " ".join(words[k : k + length])
-                        part = xxhash.xxh3_64_intdigest(window.encode()) >> 1
-                        rows.append((anchor, part, doc, at + k, window))
+                        key = window_key(" ".join(words[k : k + length]))
+                        rows.append((anchor, *key, doc, at + k, None))
                 else:
-                    rows.append((anchor, 0, doc, at, text))
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
+                    rows.append((anchor, 0, 0, doc, at, text))
+            kinds = (*[pa.int64()] * 5, pa.string())
             yield pa.record_batch(
                 [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["anchor", "part", "doc_id", "at", "words"],
+                names=["anchor", "one", "two", "doc_id", "at", "words"],
             )
 
     return (
         runs.join(hot, "anchor", "left")
         .select("anchor", "doc_id", "at", "words", F.col("hot").isNotNull().alias("hot"))
-        .mapInArrow(run, "anchor long, part long, doc_id long, at long, words string")
+        .mapInArrow(run, "anchor long, one long, two long, doc_id long, at long, words string")
     )
 
 
-def shard_spans(runs: DataFrame, length: int) -> DataFrame:
-    """``doc_id, start, end`` of the repeats found in every shard."""
-    order = ["anchor", "part", "doc_id", "at"]
-    dealt = runs.repartition("anchor", "part").sortWithinPartitions(*order, "words")
+class FirstPlaces:
+    """First places of single windows in sorted batches; all that is kept is the last row."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple[int, int, int]] = []
+    def __init__(self) -> None:
+        self.last = None
+
+    def split(self, batch: pa.RecordBatch) -> np.ndarray:
+        """0 where a window begins, 1 at its later places, 2 at its first place again."""
+        columns = [batch.column(c).to_numpy() for c in ("one", "two", "doc_id", "at")]
+        if self.last is None:
+            same = [np.append(False, c[1:] == c[:-1]) for c in columns]
+            first = None
+        else:
+            same = [np.append(c[0] == v, c[1:] == c[:-1]) for c, v in zip(columns, self.last)]
+            first = self.last[4:]
+        begins = ~(same[0] & same[1])
+        # Row of the batch where the window of each row begins; -1 in an earlier batch.
+        origin = np.maximum.accumulate(np.where(begins, np.arange(len(begins)), -1))
+        again = np.ones(len(begins), dtype=bool)
+        firsts = []
+        for column, before in zip(columns[2:], first or (0, 0)):
+            firsts.append(np.where(origin < 0, before, column[origin]))
+            again &= column == firsts[-1]
+        self.last = (*(c[-1] for c in columns), *(f[-1] for f in firsts))
+        return np.where(begins, 0, np.where(again, 2, 1))
+
+
+def dealt(runs: DataFrame) -> DataFrame:
+    """``runs`` in shards, sorted; the places of one hot window go to ``DEALS`` of them."""
+    place = F.when(F.col("words").isNull(), F.pmod(F.xxhash64("doc_id", "at"), F.lit(DEALS)))
+    return (
+        runs.withColumn("deal", F.coalesce(place, F.lit(0).cast("long")))
+        .repartition("anchor", "one", "two", "deal")
+        .drop("deal")
+        .sortWithinPartitions("anchor", "one", "two", "doc_id", "at", "words")
+    )
 
-        def spans() -> pa.RecordBatch:
-            columns = list(zip(*found, strict=True)) or [()] * 3
-            return pa.record_batch(
-                [pa.array(list(c), pa.int64()) for c in columns], names=["doc_id", "start", "end"]
-            )
 
-        for shard in groups(batches, 2):
+def shard_spans(runs: DataFrame, length: int) -> DataFrame:
+    """``doc_id, start, end`` of the repeats found in every shard.
+
+    Of the places of a hot window in one task all but the first are repeats; only these
+    first ones, at most ``DEALS`` of a window, meet again.
+    """
+    names = ["doc_id", "start", "end", "one", "two"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        places = FirstPlaces()
+        carried: list[pa.RecordBatch] = []  # runs of the last anchor so far
+
+        def of_windows(windows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+            state = places.split(windows)
+            for kind in (0, 1):
+                part = windows.filter(pa.array(state == kind))
+                start = part.column("at")
+                none = pa.nulls(part.num_rows, pa.int64())
+                keys = [none if kind else part.column(c) for c in ("one", "two")]
+                yield pa.record_batch([part.column("doc_id"), start, pc.add(start, length), *keys], names=names)
+
+        def of_shard(shard: pa.Table) -> Iterator[pa.RecordBatch]:
             if shard.num_rows > 1:
                 rows = (shard.column(c).to_pylist() for c in ("doc_id", "at", "words"))
-                found += repeated_spans(zip(*rows, strict=True), length)
-            if len(found) > 10_000:
-                yield spans()
-                found.clear()
-        yield spans()
-
-    return dealt.mapInArrow(run, "doc_id long, start long, end long")
+                found = list(repeated_spans(zip(*rows, strict=True), length))
+                if found:
+                    none = pa.nulls(len(found), pa.int64())
+                    columns = (pa.array(list(c), pa.int64()) for c in zip(*found, strict=True))
+                    yield pa.record_batch([*columns, none, none], names=names)
+
+        for batch in batches:
+            single = batch.column("words").is_null()
+            windows, rest = batch.filter(single), batch.filter(pc.invert(single))
+            if windows.num_rows:
+                yield from of_windows(windows)
+            if rest.num_rows:
+                *shards, last = groups(iter([*carried, rest]), 1)
+                carried = last.to_batches()
+                for shard in shards:
+                    yield from of_shard(shard)
+        if carried:
+            yield from of_shard(pa.Table.from_batches(carried))
+
+    told = stored(
+        dealt(runs).mapInArrow(run, "doc_id long, start long, end long, one long, two long"), "spans"
+    )
+    place = F.struct("doc_id", "start", "end")
+    again = (
+        told.filter(F.col("one").isNotNull())
+        .groupBy("one", "two")
+        .agg(F.min(place).alias("first"), F.collect_list(place).alias("places"))
+        .filter(F.size("places") > 1)
+        .select("first", F.explode("places").alias("place"))
+        .filter("place > first")
+    )
+    return told.filter(F.col("one").isNull()).select("doc_id", "start", "end").union(again.select("place.*"))
 
 
 def cut_words(text: str, stays: np.ndarray) -> str:

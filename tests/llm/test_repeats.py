@@ -1,8 +1,10 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from farevalue.llm import repeats
+from pyspark.sql import functions as F
 
 
 def plain_removed(rows, length):
@@ -113,3 +115,44 @@ def test_lowest_of_a_window_is_the_leftmost(monkeypatch):
         with monkeypatch.context() as patch:
             patch.setattr(repeats, "POSITION_BITS", 5)
             assert repeats.leftmost_lowest(values, width).tolist() == expected
+
+
+def test_a_common_line_in_differing_text_is_found_and_spread(spark, documents, monkeypatch):
+    monkeypatch.setattr(repeats, "HOT", 50)
+    line = " ".join(f"l{n}" for n in range(22))
+    rows = [(n, f"{' '.join(f'a{n}x{k}' for k in range(25))} {line} {' '.join(f'b{n}x{k}' for k in range(25))}") for n in range(300)]
+    check(repeats.remove_repeats(documents(rows).repartition(5)).collect(), rows)
+
+
+def test_no_task_gets_all_places_of_one_window(spark, monkeypatch):
+    line = " ".join(f"l{n}" for n in range(20))
+    runs = spark.range(3000).select(F.lit(5).cast("long").alias("anchor"), F.col("id").alias("doc_id"), F.lit(3).cast("long").alias("at"), F.lit(line).alias("words"))
+    hot = spark.sql("SELECT 5L AS anchor, true AS hot")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    try:
+        tasks = repeats.dealt(repeats.cut_hot(runs, hot, 20)).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(t["count"] for t in tasks) == 3000
+    assert max(t["count"] for t in tasks) < 2 * 3000 / 8
+    spans = repeats.shard_spans(repeats.cut_hot(runs, hot, 20), 20).collect()
+    assert sorted(map(tuple, spans)) == [(n, 3, 23) for n in range(1, 3000)]
+
+
+def test_first_places_over_batches():
+    rng = random.Random(14)
+    rows = sorted(tuple(rng.randrange(-2, 2) for _ in range(4)) for _ in range(400))
+    first, expected = {}, []
+    for one, two, *place in rows:
+        begins = (one, two) not in first
+        expected.append(0 if begins else 2 if first[one, two] == place else 1)
+        first.setdefault((one, two), place)
+    for size in (1, 7, 400):
+        places, got = repeats.FirstPlaces(), []
+        for at in range(0, 400, size):
+            columns = [pa.array(list(c), pa.int64()) for c in zip(*rows[at : at + size])]
+            got += places.split(pa.record_batch(columns, names=["one", "two", "doc_id", "at"])).tolist()
+        assert got == expected
