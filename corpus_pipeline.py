@@ -39,9 +39,11 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut words of passages that stand earlier in the corpus; the rest keeps its layout."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    kept = repeats.remove_repeats(docs, carry=others, layout=True)
-    return count_chars(kept.withColumnRenamed("kept", "text").select(docs.columns))
+    names = {c: f"carried_{n}" for n, c in enumerate(docs.columns) if c not in ("doc_id", "text")}
+    given = docs.select("doc_id", "text", *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    kept = repeats.remove_repeats(given, carry=tuple(names.values()), layout=True)
+    names |= {"doc_id": "doc_id", "text": "kept"}
+    return count_chars(kept.select(*(F.col(names[c]).alias(c) for c in docs.columns)))
 
 
 def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

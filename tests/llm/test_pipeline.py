@@ -96,3 +96,20 @@ def test_shared_word_pattern():
     text = "A\x0bb\x1cc\xa0d  É\x85e\x0c\x00f\u2003g"
     assert [w.decode() for w in words_of(text)] == WORD_RE.findall(text)
     assert words_of(text, lower=True)[:3] == ["a".encode(), "b\x1cc\xa0d".encode(), "É\x85e".encode()]
+
+
+def test_stages_carry_columns_whose_names_clash(spark, stages):
+    extra = ["kept", "n_words", "n_removed", "a.b", "gone", "toxic", "grade", "spans", "key", "carried_0"]
+    docs = spark.read.parquet(f"{TABLES}/documents.parquet")
+    for n, name in enumerate(extra):
+        docs = docs.withColumn(name, docs.doc_id * 100 + n)
+    for (name, stage), plain in zip(corpus_pipeline.STAGES, stages[1:]):
+        found = stage(spark, docs, TABLES)
+        if name == "best-fit packing":
+            assert found.columns == plain.columns and found.count() == plain.count()
+            break
+        docs = stored(found, f"clash-{name.replace(' ', '-')}")
+        assert docs.columns == [*plain.columns, *extra]
+        assert {i: r.text for i, r in rows(docs).items()} == {i: r.text for i, r in rows(plain).items()}
+        for r in docs.collect():
+            assert [r[c] for c in extra] == [r.doc_id * 100 + n for n in range(len(extra))]
