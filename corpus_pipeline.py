@@ -52,8 +52,8 @@ def hide_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pack what is left into training sequences; one row per piece."""
-    return packing.pack(docs, TOKENIZER, memory=WORDS)
+    """Pack what is left into training sequences; one row per piece, with its token ids."""
+    return packing.pack(docs, TOKENIZER, memory=WORDS, keep_ids=True)
 
 
 STAGES = [

@@ -1,10 +1,12 @@
 """The pipeline against its operators' plain versions, stage by stage, and the queries."""
 
 import os
+import zlib
 
 import corpus_pipeline
+import numpy as np
 import pytest
-from farevalue.llm import queries, repeats, secrets, toxicity
+from farevalue.llm import packing, queries, repeats, secrets, toxicity
 from farevalue.llm.common import WORD_RE, stored, words_of
 from test_links import plain_components, shingles
 from test_repeats import plain_removed
@@ -113,3 +115,16 @@ def test_stages_carry_columns_whose_names_clash(spark, stages):
         assert {i: r.text for i, r in rows(docs).items()} == {i: r.text for i, r in rows(plain).items()}
         for r in docs.collect():
             assert [r[c] for c in extra] == [r.doc_id * 100 + n for n in range(len(extra))]
+
+
+def test_packed_pieces_hold_their_token_ids(spark, documents):
+    texts = {1: "Some plain words, and more of them.", 2: "", 3: "word " * 9000, 4: None}
+    found = corpus_pipeline.pack_documents(spark, documents(list(texts.items())), TABLES).collect()
+    words = packing.load_word_ids(corpus_pipeline.TOKENIZER, corpus_pipeline.WORDS)
+    for doc, text in texts.items():
+        pieces = sorted((r for r in found if r.doc_id == doc), key=lambda r: r.piece)
+        for r in pieces:
+            assert len(r.ids) == 4 * r.length and zlib.crc32(r.ids) == r.ids_crc32
+        expected = words.tokenizer.encode(text or "", add_special_tokens=False).ids
+        assert np.frombuffer(b"".join(r.ids for r in pieces), "<u4").tolist() == [*expected, packing.END_ID]
+    assert sum(r.length for r in found) > packing.CAPACITY
