@@ -10,7 +10,21 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farevalue.llm import bpe, embeddings, fingerprints, jaccard, licenses, packing, repeats, secrets, toxicity, warc
+from farevalue.llm import (
+    bpe,
+    conversations,
+    embeddings,
+    fingerprints,
+    jaccard,
+    licenses,
+    packing,
+    repeats,
+    resampling,
+    secrets,
+    sharding,
+    toxicity,
+    warc,
+)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -192,6 +206,29 @@ def embedding_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     return embeddings.deduplicate(table(spark, folder, "embeddings"))
 
 
+def importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    drawn = resampling.resample(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, folder, "conversations"))
+
+
+def byte_shards(spark: SparkSession, folder: str) -> DataFrame:
+    rows = sharding.reshard_documents(table(spark, folder, "documents"))
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repeats": substring_dedup,
     "op2_jaccard": jaccard_components,
@@ -203,6 +240,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": license_scan,
     "op9_byte_bpe": byte_bpe,
     "op10_embeddings": embedding_duplicates,
+    "op11_resampling": importance_resampling,
+    "op12_repair": conversation_repair,
+    "op13_sharding": byte_shards,
 }
 
 ORACLES: dict[str, str] = {"op1_repeats": REPEATS_SQL, "op2_jaccard": JACCARD_SQL, "op3_warc": WARC_SQL}

@@ -1,3 +1,6 @@
+import os
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as registry
@@ -23,3 +26,12 @@ def documents(spark):
         )
 
     return make
+
+
+@pytest.fixture(scope="session")
+def tables_folder():
+    """The folder with the test tables; ``FAREVALUE_TABLES`` names another one."""
+    folder = os.environ.get("FAREVALUE_TABLES", "/root/testdata/sf0.001")
+    if not Path(folder).is_dir():
+        pytest.skip("no test tables")
+    return folder
