@@ -60,13 +60,35 @@ class RateCard:
             return literal_rows(spark, StructType.fromDDL(ddl), rows)
 
         return RateCard(
-            routes=table("origin string, destination string, tier string", ROUTE_TIERS),
-            tiers=table("tier string, multiplier double", TIER_MULTIPLIERS),
-            cabins=table("cabin string, multiplier double", CABIN_MULTIPLIERS),
-            airlines=table("airline string, multiplier double", AIRLINE_MULTIPLIERS),
+            routes=table(RATE_TABLES["routes"], ROUTE_TIERS),
+            tiers=table(RATE_TABLES["tiers"], TIER_MULTIPLIERS),
+            cabins=table(RATE_TABLES["cabins"], CABIN_MULTIPLIERS),
+            airlines=table(RATE_TABLES["airlines"], AIRLINE_MULTIPLIERS),
         )
 
 
+RATE_TABLES = {
+    "routes": "origin string, destination string, tier string",
+    "tiers": "tier string, multiplier double",
+    "cabins": "cabin string, multiplier double",
+    "airlines": "airline string, multiplier double",
+}
+
+
+def read_rates(
+    spark: SparkSession, folder: str, default_tier: str = DEFAULT_TIER, base_points: float = BASE_POINTS
+) -> RateCard:
+    """Rule tables from ``routes.csv``, ``tiers.csv``, ``cabins.csv`` and ``airlines.csv``.
+
+    A number that cannot be read fails the job rather than becoming null.
+    """
+    tables = {
+        name: spark.read.schema(ddl).csv(f"{folder}/{name}.csv", header=True, mode="FAILFAST")
+        for name, ddl in RATE_TABLES.items()
+    }
+    return RateCard(**tables, default_tier=default_tier, base_points=base_points)
+
+
 def check_rates(rates: RateCard) -> None:
     """Raise ``ValueError`` if a rule table repeats a key, which would multiply rows."""
     keyed = {
@@ -88,11 +110,13 @@ def look_up(
     value: str,
     into: str,
     default: Column | None = None,
+    error: str | None = None,
 ) -> DataFrame:
     """Add column ``into`` from ``table[value]``, matched on ``{df column: table column}``.
 
     A key that is null or not listed gets ``default``. Without a default it is an
-    error, raised by the value itself so that no pruning can skip the check.
+    error, raised by the value itself so that no pruning can skip the check. With ``error``
+    the value is null instead, and a column of that name has the text of the error.
     """
     names = {there: f"__key_{i}" for i, there in enumerate(keys.values())}
     side = table.select(
@@ -100,12 +124,16 @@ def look_up(
         F.col(value).alias("__value"),
     )
     match = [F.col(here) == F.col(names[there]) for here, there in keys.items()]
+    failure = None
     if default is None:
         shown = F.concat_ws(", ", *(F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys))
         message = F.concat(F.lit(f"No {value} is listed for {', '.join(keys)} = "), shown)
-        default = F.raise_error(message).cast(table.schema[value].dataType)
+        failure = F.when(F.col("__value").isNull(), message)
+        raised = F.lit(None) if error else F.raise_error(message)
+        default = raised.cast(table.schema[value].dataType)
     found = F.when(F.col("__value").isNull(), default).otherwise(F.col("__value"))
-    joined = df.join(side, match, "left").withColumn(into, found)
+    columns = {into: found} if error is None else {into: found, error: failure}
+    joined = df.join(side, match, "left").withColumns(columns)
     return joined.drop("__value", *names.values())
 
 

@@ -25,6 +25,13 @@ FLIGHT_KEYS = (
 PAIRS = 1_000_000
 PIECE = 100_000
 
+# Ids that a sketch of frequent ids tracks, the groups in which the sketches of tasks are merged
+# first, and the share of a tracked place below which an id may be missed (the sketch's a priori
+# error, which is 3.5 of 4/3 places, counted twice: once for the count, once for the cut).
+TRACKED = 32_768
+MERGE_GROUPS = 1000
+MISSED = 5.25
+
 
 def value_fares(cash: DataFrame, awards: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """Inner join on the six flight keys, with cents per point.
@@ -75,6 +82,50 @@ def find_hot(cash: DataFrame, awards: DataFrame, pairs: int = PAIRS) -> DataFram
     )
 
 
+def candidates(df: DataFrame, key: str = "flight_id", tracked: int = TRACKED) -> DataFrame:
+    """One column of at most ``tracked`` ids: all that hold over ``MISSED / tracked`` of the rows,
+    and some that hold less.
+
+    Every task keeps a sketch of its frequent ids. Sketches are merged in groups, then the
+    groups' ones, so ids that are not frequent never leave their task and no task merges
+    more than the square root of their number.
+    """
+    group = (F.spark_partition_id() % MERGE_GROUPS).alias("group")
+    state = F.expr(f"approx_top_k_accumulate(id, {tracked})").alias("state")
+    counted = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), group)
+    # One group, as a group: without any row there is nothing to merge, and no state.
+    merged = counted.groupBy("group").agg(state).groupBy(F.lit(0).alias("all"))
+    merged = merged.agg(F.expr(f"approx_top_k_combine(state, {tracked})").alias("state"))
+    found = merged.select(F.expr(f"inline(approx_top_k_estimate(state, {tracked}))"))
+    return found.select(F.col("item").alias(key))
+
+
+def frequent_ids(
+    df: DataFrame, least: int, key: str = "flight_id", tracked: int = TRACKED
+) -> DataFrame:
+    """``key, copies`` of the ids with more than ``least`` rows, counted exactly.
+
+    Complete as long as ``least`` is at least ``MISSED / tracked`` of the rows. Only candidates of
+    the sketch are counted, at most ``tracked`` of them, which bounds what is broadcast.
+    """
+    some = df.select(key).join(F.broadcast(candidates(df, key, tracked)), key, "left_semi")
+    return some.groupBy(key).agg(F.count(F.lit(1)).alias("copies")).where(F.col("copies") > least)
+
+
+def find_hot_by_sketch(
+    cash: DataFrame, awards: DataFrame, pairs: int = PAIRS, tracked: int = TRACKED
+) -> DataFrame:
+    """``find_hot`` for tables that are not stored by id, without shuffling all their ids.
+
+    Ids that are frequent on one side are candidates, and only they are counted. An id that both
+    sketches may miss has fewer pairs than the product of what they may miss, so the result
+    is ``find_hot``'s while that product is at most ``pairs``.
+    """
+    ids = candidates(cash, tracked=tracked).union(candidates(awards, tracked=tracked)).distinct()
+    sides = [side.join(F.broadcast(ids), "flight_id", "left_semi") for side in (cash, awards)]
+    return find_hot(*sides, pairs)
+
+
 def count_joinable(df: DataFrame) -> DataFrame:
     """Rows that can match (``kept``) and rows that a null key excludes (``dropped``)."""
     has_null = reduce(or_, (F.col(key).isNull() for key in FLIGHT_KEYS))
@@ -85,14 +136,14 @@ def count_joinable(df: DataFrame) -> DataFrame:
 def _join_in_pieces(fares: DataFrame, prices: DataFrame, hot: DataFrame) -> DataFrame:
     """The inner join for the ids of ``hot``.
 
-    Equal rows are merged, mostly before the shuffle, and counted. One side's distinct
-    rows are dealt to the pieces of their id by their content, and the other side's
+    Only their rows are merged where equal, mostly before the shuffle, and counted. One side's
+    distinct rows are dealt to the pieces of their id by their content, and the other side's
     go to every piece. Result rows that stand for many are cut and spread again, and
     every task repeats its own.
     """
     whole = [
-        _merged(fares, "__fares").join(hot, "flight_id"),
-        _merged(prices, "__prices").join(hot, "flight_id"),
+        _merged(fares.join(hot, "flight_id"), "__fares"),
+        _merged(prices.join(hot, "flight_id"), "__prices"),
     ]
     dealt = []
     for side, is_cut in zip(whole, (F.col("cut_fares"), ~F.col("cut_fares")), strict=True):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 from functools import reduce
 
@@ -11,16 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
-from farevalue.contracts import ENVELOPE, FLAGS, GOLD, METRICS
+from farevalue.contracts import AWARD, BRONZE_CASH, ENVELOPE, GOLD, SERVING, SILVER_CASH
 from farevalue.functions.text import first_filled
 from farevalue.functions.time import utc_iso_text
 from farevalue.operators import publish, quality, search
 from farevalue.operators.enrich import add_flight_times
 from farevalue.operators.flatten import flatten_flown_fares, flatten_fares
-from farevalue.operators.pricing import LOAD_TIME_CANDIDATES, price_awards
+from farevalue.operators.pricing import LOAD_TIME_CANDIDATES, RateCard, look_up, price_awards
 from farevalue.operators.valuation import count_joinable, find_hot, value_fares
 from farevalue.plans import oracle as sql
-from farevalue.plans.medallion import Layout, run_job
+from farevalue.plans.medallion import STEPS, Layout, read_layer, run_job
 from farevalue.plans.star_schema import cash_fares, envelopes, single_fare_envelopes
 from farevalue.session import scratch_path
 from farevalue.sources.readers import read_serving, read_table
@@ -74,13 +74,29 @@ def _shared(
     return read_table(spark, _SHARED[key])
 
 
+def cash_and_awards(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Stored cash fares and award prices, which the job has before it makes gold."""
+    cash = _shared(spark, sf_dir, "cash", lambda: cash_fares(spark, sf_dir))
+    return cash, _shared(spark, sf_dir, "awards", lambda: price_awards(cash))
+
+
 def gold_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gold from stored cash and awards, stored itself: what the job does."""
-    cash = _shared(spark, sf_dir, "cash", lambda: cash_fares(spark, sf_dir))
-    awards = _shared(spark, sf_dir, "awards", lambda: price_awards(cash))
+    cash, awards = cash_and_awards(spark, sf_dir)
     return _shared(spark, sf_dir, "gold", lambda: value_fares(cash, awards))
 
 
+def published(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of a serving table with its documents and facets, published once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, "serving")
+    if key not in _SHARED:
+        gold = gold_fares(spark, sf_dir)
+        path = scratch_path(spark, "serving")
+        publish.publish_parts(spark, [gold], path)
+        _SHARED[key] = path
+    return _SHARED[key]
+
+
 def _stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` as a table, for operators that read their input more than once."""
     path = scratch_path(df.sparkSession, label)
@@ -218,7 +234,7 @@ def award_custom_points(spark, sf_dir):
 
 @registered(f"{sql.GOLD_TABLES} SELECT * FROM gold")
 def gold_cpp(spark, sf_dir):
-    return gold_fares(spark, sf_dir)
+    return value_fares(*cash_and_awards(spark, sf_dir))
 
 
 @registered(
@@ -279,6 +295,29 @@ def gold_repeated_flights(spark, sf_dir):
     )
 
 
+_STRICT_TIERS = """given AS (SELECT *, CASE airline WHEN 'Frontier' THEN 'ULTRA_HAUL' WHEN 'Delta' THEN 'SHORT_HAUL'
+  WHEN 'United' THEN NULL ELSE 'MEDIUM_HAUL' END AS tier FROM cash)"""
+
+
+@registered(
+    f"""WITH {sql.CASH}, {_STRICT_TIERS}
+SELECT flight_id, tier, CASE tier WHEN 'SHORT_HAUL' THEN cast(1 AS double) WHEN 'MEDIUM_HAUL' THEN 2.0 END AS multiplier,
+ CASE WHEN coalesce(tier, '') NOT IN ('SHORT_HAUL', 'MEDIUM_HAUL') THEN concat(
+   'No multiplier is listed for tier = ', coalesce(tier, 'null')) END AS error FROM given"""
+)
+def strict_tier(spark, sf_dir):
+    """Listed tiers with their multiplier; for the others the error that pricing would raise."""
+    tier = (
+        F.when(F.col("airline") == "Frontier", "ULTRA_HAUL")
+        .when(F.col("airline") == "Delta", "SHORT_HAUL")
+        .when(F.col("airline") == "United", None)
+        .otherwise("MEDIUM_HAUL")
+    )
+    given = cash_fares(spark, sf_dir).select("flight_id", tier.alias("tier"))
+    tiers = RateCard.standard(spark).tiers
+    return look_up(given, tiers, {"tier": "tier"}, "multiplier", "multiplier", error="error")
+
+
 # Quality
 
 
@@ -410,6 +449,54 @@ def q_validate_all(spark, sf_dir):
     return _count_flags(quality.validate(gold_fares(spark, sf_dir), GOLD, RUN.run_id).flags)
 
 
+def _every_flag(source: str) -> str:
+    return " UNION ALL ".join(
+        [sql.missing_flags(source), sql.duplicate_flags(source), sql.interval_flags(source)]
+    )
+
+
+@registered(
+    f"""{sql.GOLD_TABLES}, rates AS ({sql.null_rates('gold', 0.05)}),
+found AS (SELECT flight_id, check_name, severity, field_name, message, observed_value, NULL AS rate
+  FROM ({_every_flag('gold')})
+ UNION ALL SELECT NULL, 'NULL_RATE_THRESHOLD_EXCEEDED', 'warning', field_name,
+  'Field null rate exceeded its configured threshold.', NULL, metric_value FROM rates
+  WHERE metric_value > threshold)
+SELECT 'run-1' AS run_id, *, '2026-07-01T00:00:00+00:00' AS detected_at FROM found"""
+)
+def q_validate_table(spark, sf_dir):
+    """All columns of all flags of a stored table, as written; the rate is read from its text."""
+    cash, awards = cash_and_awards(spark, sf_dir)
+    source, results = scratch_path(spark, "gold"), scratch_path(spark, "quality")
+    overwrite(value_fares(cash, awards), source)
+    quality.validate_table(spark, source, results, run_id=RUN.run_id, at=RUN.at)
+    flags = quality.read_flags(spark, results)
+    is_rate = F.col("check_name") == quality.NULL_RATE_EXCEEDED[0]
+    rate = F.substring_index(F.substring_index("observed_value", ",", 1), "=", -1)
+    return _as_text(
+        flags.withColumns(
+            {
+                "rate": F.when(is_rate, rate.cast("double")),
+                "observed_value": F.when(~is_rate, F.col("observed_value")),
+            }
+        )
+    )
+
+
+@registered(
+    f"""{sql.GOLD_TABLES}, rates AS ({sql.null_rates('gold', 0.05)})
+SELECT 'run-1' AS run_id, *, CASE WHEN metric_value > threshold THEN 'failed' ELSE 'passed' END AS status,
+ '2026-07-01T00:00:00+00:00' AS measured_at FROM rates"""
+)
+def q_validate_table_metrics(spark, sf_dir):
+    """All columns of the metrics that a validation of a stored table writes."""
+    cash, awards = cash_and_awards(spark, sf_dir)
+    source, results = scratch_path(spark, "gold"), scratch_path(spark, "quality")
+    overwrite(value_fares(cash, awards), source)
+    quality.validate_table(spark, source, results, run_id=RUN.run_id, at=RUN.at)
+    return _as_text(quality.read_metrics(spark, results))
+
+
 # Serving
 
 
@@ -505,6 +592,35 @@ def filter_options(spark, sf_dir):
     return options.select(*(F.array_join(name, "|").alias(name) for name in search.FACETS))
 
 
+@registered(f"{sql.SERVED_TABLES} {_facet_sql(search.FACETS, 'served', 100)}")
+def facet_terms_stored(spark, sf_dir):
+    """The terms from the counts written at publish time; reads no fare."""
+    stored = publish.read_facets(spark, published(spark, sf_dir))
+    return search.top_terms(search.summed_facets(stored))
+
+
+@registered(
+    f"""{sql.SERVED_TABLES} SELECT 'all' AS selection, cast(count(*) AS bigint) AS matches FROM served
+ UNION ALL SELECT 'from SFO', count(*) FROM served WHERE origin_airport = 'SFO'
+ UNION ALL SELECT 'Delta', count(*) FROM served WHERE airline = 'Delta'
+ UNION ALL SELECT 'unlisted', 0"""
+)
+def match_counts_stored(spark, sf_dir):
+    """Numbers of matches from the stored counts."""
+    stored = publish.read_facets(spark, published(spark, sf_dir))
+    asked = {
+        "all": (None, None),
+        "from SFO": ("origins", "SFO"),
+        "Delta": ("airlines", "Delta"),
+        "unlisted": ("airlines", "Nobody"),
+    }
+    counts = [
+        search.summed_matches(stored, facet, value).select(F.lit(name).alias("selection"), "matches")
+        for name, (facet, value) in asked.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
+
+
 @registered(
     f"""{sql.SERVED_TABLES} SELECT origin_airport AS "Origin", destination_airport AS "Destination",
  strftime(departure_datetime, '%Y-%m-%d %H:%M UTC') AS "Departure",
@@ -524,10 +640,9 @@ def display_rows(spark, sf_dir):
  {sql.SERVED_TEXT} FROM served"""
 )
 def search_documents(spark, sf_dir):
-    """Documents, with the fields read back out of their JSON."""
-    served = served_fares(spark, sf_dir)
-    documents = publish.to_documents(served)
-    layout = _as_text(served.limit(0)).schema
+    """Documents as publishing wrote them, with the fields read back out of their JSON."""
+    documents = publish.read_documents(spark, published(spark, sf_dir))
+    layout = _as_text(SERVING.empty(spark)).schema
     fields = F.from_json("_source", layout).alias("source")
     return documents.select("_index", "_id", fields).select("_index", "_id", "source.*")
 
@@ -537,7 +652,8 @@ def search_documents(spark, sf_dir):
 
 def raw_layout(spark: SparkSession, sf_dir: str) -> Layout:
     """A new layout whose raw folder holds the cash fares as JSON lines."""
-    layout = Layout(raw=scratch_path(spark, "raw"), root=scratch_path(spark, "tables"))
+    # The days of the test tables hold a few hundred rows each, so a period is a year.
+    layout = Layout(scratch_path(spark, "raw"), scratch_path(spark, "tables"), period="year")
     raw = single_fare_envelopes(cash_fares(spark, sf_dir))
     raw.write.json(layout.raw)
     return layout
@@ -563,13 +679,13 @@ def medallion_end_to_end(spark, sf_dir):
     for result in run_job(spark, layout):
         if result.error is not None:
             raise result.error
-    flags = read_table(spark, layout.flags, FLAGS.schema)
-    metrics = read_table(spark, layout.metrics, METRICS.schema)
+    flags = quality.read_flags(spark, layout.quality)
+    metrics = quality.read_metrics(spark, layout.quality)
     layers = [
-        _layer_count("bronze/cash", read_table(spark, layout.bronze_cash)),
-        _layer_count("silver/cash", read_table(spark, layout.silver_cash)),
-        _layer_count("bronze/award", read_table(spark, layout.bronze_award)),
-        _layer_count("gold", read_table(spark, layout.gold)),
+        _layer_count("bronze/cash", read_layer(spark, layout.bronze_cash, BRONZE_CASH)),
+        _layer_count("silver/cash", read_layer(spark, layout.silver_cash, SILVER_CASH)),
+        _layer_count("bronze/award", read_layer(spark, layout.bronze_award, AWARD)),
+        _layer_count("gold", read_layer(spark, layout.gold, GOLD)),
         _layer_count("quality/flags ", flags, "check_name"),
         _layer_count("quality/metrics ", metrics, "status"),
         _layer_count("serving", read_serving(spark, layout.serving)),
@@ -577,6 +693,24 @@ def medallion_end_to_end(spark, sf_dir):
     return reduce(DataFrame.unionByName, layers)
 
 
+@registered(f"WITH {sql.CASH},{sql.award()},{sql.gold()} SELECT * FROM gold")
+def gold_day_wise(spark, sf_dir):
+    """Gold of two loads: everything, with the last four months of wrong prices, and these months
+    again with the right ones."""
+    layout = Layout(
+        scratch_path(spark, "raw"), scratch_path(spark, "tables"), keep_other_days=True, period="year"
+    )
+    cash, _ = cash_and_awards(spark, sf_dir)
+    late = F.col("ingestion_timestamp") >= "1998-05-01"
+    wrong = F.when(late, F.lit(1.0)).otherwise(F.col("cash_price"))
+    for fares, folder in ((cash.withColumn("cash_price", wrong), "first"), (cash.where(late), "second")):
+        single_fare_envelopes(fares).write.json(f"{layout.raw}/{folder}")
+        for result in run_job(spark, replace(layout, raw=f"{layout.raw}/{folder}"), STEPS[:4]):
+            if result.error is not None:
+                raise result.error
+    return read_layer(spark, layout.gold, GOLD)
+
+
 def _layer_count(layer: str, df: DataFrame, by: str | None = None) -> DataFrame:
     records = F.count(F.lit(1)).alias("records")
     if by is None:

@@ -7,11 +7,13 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# What the operators rely on: AQE splits hot join partitions, splits and merges
+# What the operators rely on: tables dealt by an id are joined on more keys than the id
+# without a shuffle, AQE splits hot join partitions, splits and merges
 # the partitions of a REBALANCE before a write, and may turn a sort-merge join
 # into a broadcast once the real size of a side is known.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -33,6 +35,11 @@ def shuffle_partitions(input_bytes: int) -> int:
     return max(MIN_PARTITIONS, -(-input_bytes // PARTITION_BYTES))
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> None:
+    """Set the shuffle partitions of a session for ``input_bytes``; what runs later uses them."""
+    spark.conf.set("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
+
+
 def build_session(
     app_name: str,
     master: str | None = None,

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from farevalue.contracts import ENVELOPE, SERVING
-
+from farevalue.sources.versions import Versions
 
 # The column with the text of a line that does not fit the declared schema.
 REJECTED = "rejected_line"
@@ -37,8 +37,9 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
 
 
 def read_serving(spark: SparkSession, path: str) -> DataFrame:
-    """Read the published table; its declared schema also fits when it holds no rows."""
-    return read_table(spark, path, SERVING.schema)
+    """Read the published table as its newest finished run left it; folders are months."""
+    versions = Versions(spark, path, period=SERVING.columns[-1])
+    return versions.read(StructType(SERVING.schema[:-1]))
 
 
 def _found(path: str, load) -> DataFrame:

@@ -3,10 +3,11 @@ from dataclasses import replace
 
 from data import gold
 from farevalue.__main__ import main
-from farevalue.contracts import GOLD, METRICS, SERVING
-from farevalue.plans.medallion import STEPS, Layout, run_job
+from farevalue.contracts import AWARD, BRONZE_CASH, GOLD, METRICS, SERVING, SILVER_CASH
+from farevalue.operators.quality import read_flags, read_metrics
+from farevalue.plans.medallion import STEPS, Layout, read_layer, run_job
 from farevalue.plans.star_schema import single_fare_envelopes
-from farevalue.sources.readers import read_serving, read_table
+from farevalue.sources.readers import read_serving
 
 
 def raw_fares(spark, path, *changes):
@@ -31,14 +32,14 @@ def test_whole_job(spark, tmp_path):
     results = run_job(spark, layout)
     assert [r.name for r in results if not r.ok] == []
     assert len(results) == len(STEPS)
-    assert read_table(spark, layout.bronze_cash).count() == 3
-    assert "flight_duration_minutes" in read_table(spark, layout.silver_cash).columns
-    assert read_table(spark, layout.bronze_award).count() == 3
-    curated = read_table(spark, layout.gold)
+    assert read_layer(spark, layout.bronze_cash, BRONZE_CASH).count() == 3
+    assert "flight_duration_minutes" in read_layer(spark, layout.silver_cash, SILVER_CASH).columns
+    assert read_layer(spark, layout.bronze_award, AWARD).count() == 3
+    curated = read_layer(spark, layout.gold, GOLD)
     assert GOLD.drift(curated) == [] and curated.count() == 2
-    flags = read_table(spark, layout.flags).collect()
+    flags = read_flags(spark, layout.quality).collect()
     assert [(r["flight_id"], r["check_name"]) for r in flags] == [("late", "INVALID_FLIGHT_TIMES")]
-    assert METRICS.drift(read_table(spark, layout.metrics)) == []
+    assert METRICS.drift(read_metrics(spark, layout.quality)) == []
     served = read_serving(spark, layout.serving)
     assert SERVING.drift(served) == [] and served.count() == 2
     assert results[-1].outcome.loaded == 2
@@ -70,7 +71,7 @@ def test_a_day_can_be_reloaded_alone(spark, tmp_path):
     raw_fares(spark, second.raw, {"flight_id": "f3", **next_day})
     for layout in (first, second):
         assert run_job(spark, layout, steps)[0].ok
-    kept = read_table(spark, first.bronze_cash).select("flight_id").collect()
+    kept = read_layer(spark, first.bronze_cash, BRONZE_CASH).select("flight_id").collect()
     assert sorted(r[0] for r in kept) == ["f1", "f3"]
 
 
@@ -80,7 +81,7 @@ def test_multi_line_input(spark, tmp_path):
     (tmp_path / "array.json").write_text(json.dumps(rows, indent=4))
     layout = Layout(str(tmp_path / "array.json"), str(tmp_path / "tables"), multi_line=True)
     assert all(r.ok for r in run_job(spark, layout, STEPS[:2]))
-    assert read_table(spark, layout.silver_cash).count() == 2
+    assert read_layer(spark, layout.silver_cash, SILVER_CASH).count() == 2
 
 
 def test_envelopes_without_itineraries_end_with_no_documents(spark, tmp_path):
