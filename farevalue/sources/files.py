@@ -38,6 +38,12 @@ def contents(spark: SparkSession, path: str) -> Contents:
     return Contents(size, files, changed)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``, from one listing."""
+    top, system = _opened(spark, path)
+    return [s.getPath().getName() for s in system.listStatus(top) if s.isDirectory()]
+
+
 def remove(spark: SparkSession, path: str) -> None:
     target, system = _opened(spark, path)
     system.delete(target, True)

@@ -27,9 +27,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, StringType, StructField, StructType
 
 from farevalue.contracts import Contract, literal_rows
-from farevalue.sources.files import remove
+from farevalue.sources.files import folders, remove
 
 PERIOD = "period"
+
+# Fixed value: Spark's name for the folder of null.
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 ROWS = "rows"
 
 LOG = Contract(
@@ -80,6 +83,11 @@ def within(periods: Periods | None, column: str = PERIOD) -> Column:
     return days | F.col(column).isNull() if None in periods else days
 
 
+def outside(periods: Periods, column: str = PERIOD) -> Column:
+    """The opposite of ``within``, for null too."""
+    return ~F.coalesce(within(periods, column), F.lit(False))
+
+
 def in_order(periods: Periods) -> list[str | None]:
     return sorted(periods, key=lambda p: (p is not None, p or ""))
 
@@ -168,10 +176,9 @@ class Versions:
         self.spark.sql(f"DROP TABLE {name}")  # external: the files stay
 
     def periods_in(self, run: str, part: str = ROWS) -> Periods:
-        """Periods that one part of a run has rows for."""
-        layout = StructType([StructField(self.period, DateType())])
-        rows = self.spark.read.schema(layout).parquet(self.folder(run, part))
-        return {r[0] for r in rows.select(F.col(self.period).cast("string")).distinct().collect()}
+        """Periods that one part of a run has rows for, by the names of its folders."""
+        named = (f.split("=", 1) for f in folders(self.spark, self.folder(run, part)) if "=" in f)
+        return {None if value == NULL_FOLDER else value for _, value in named}
 
     def commit(
         self,
@@ -208,7 +215,7 @@ class Versions:
             (run,) = runs
             whole = self.spark.read.schema(full).parquet(self.folder(run, part))
             stale = {p for c in self.log if c.run == run for p in c.present} - set(live)
-            return whole.where(~within(stale, self.period)) if stale else whole
+            return whole.where(outside(stale, self.period)) if stale else whole
         digest = hashlib.md5(f"{self.path}/{part}/{key}".encode()).hexdigest()[:16]
         name = f"farevalue_{digest}_{last.sequence}"
         if not self.spark.catalog.tableExists(name):
@@ -232,7 +239,7 @@ class Versions:
 
     def _place(self, run: str, part: str, period: str | None) -> str:
         """The folder of one period, which Spark names so for null."""
-        return f"{self.folder(run, part)}/{self.period}={period or '__HIVE_DEFAULT_PARTITION__'}"
+        return f"{self.folder(run, part)}/{self.period}={period or NULL_FOLDER}"
 
     def read_newest(self, schema: StructType, part: str) -> DataFrame:
         """A part without periods, as the newest run wrote it."""

@@ -146,3 +146,54 @@ def test_a_hot_key_is_cut_over_several_tasks(spark, settings):
     counted = valued.agg(F.count("ingestion_timestamp"))
     assert counted.collect()[0][0] == 60_000
     assert "skew=true" in plan_of(counted)
+
+
+def many_ids(spark, hot, copies):
+    """20,000 ids of one row each beside ids with ``copies``."""
+    single = spark.range(20_000, numPartitions=6).select(F.concat(F.lit("s"), F.col("id")).alias("flight_id"))
+    more = spark.range(copies, numPartitions=6).select(F.explode(F.array(*map(F.lit, hot))).alias("flight_id"))
+    ids = single.union(more).union(spark.createDataFrame([(None,)], "flight_id string"))
+    return ids.withColumns({k: F.lit(v) for k, v in FARE.items() if k != "flight_id"})
+
+
+def test_hot_ids_by_sketch(spark, tmp_path):
+    sides = {"cash": (["a", "b", "c"], 500), "award": (["b", "c", "d"], 400)}
+    tables = []
+    for name, (hot, copies) in sides.items():
+        many_ids(spark, hot, copies).write.parquet(f"{tmp_path}/{name}")
+        tables.append(spark.read.parquet(f"{tmp_path}/{name}"))
+    # An id that is missed on both sides has at most (5.25 * 21,500 / 1,000)**2 = 12,741 pairs.
+    found = valuation.find_hot_by_sketch(*tables, pairs=20_000, tracked=1000)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, find_hot(*tables, pairs=20_000).collect()))
+    assert {r["flight_id"] for r in found.collect()} == {"b", "c"}
+
+
+def test_frequent_ids_shuffle_candidates_only(spark, tmp_path):
+    many_ids(spark, ["a", "b"], 700).write.parquet(f"{tmp_path}/t")
+    table = spark.read.parquet(f"{tmp_path}/t")
+    frequent = valuation.frequent_ids(table, 600, tracked=1000)
+    assert sorted(map(tuple, frequent.collect())) == [("a", 700), ("b", 700)]
+    ids = valuation.candidates(table, tracked=1000).collect()
+    assert len(ids) <= 1000 and {"a", "b"} <= {r["flight_id"] for r in ids}
+    plan = plan_of(frequent)
+    below = plan[plan.index("BroadcastHashJoin") :]
+    assert "hashpartitioning(flight_id" not in below.split("approx_top_k")[0].replace("\n", " ")
+    assert valuation.frequent_ids(table.limit(0), 1).collect() == []
+
+
+def test_the_plan_merges_rows_of_hot_ids_only(spark, tmp_path):
+    cash, award = copies(spark)
+    for name, df in (("cash", cash), ("award", award), ("hot", find_hot(cash, award, 5))):
+        df.write.parquet(f"{tmp_path}/{name}")
+    tables = [spark.read.parquet(f"{tmp_path}/{name}") for name in ("cash", "award", "hot")]
+    plan = value_fares(*tables)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {n: len(line) - len(line.lstrip(" :+-")) for n, line in enumerate(plan)}
+    merged = [n for n, line in enumerate(plan) if "Aggregate [" in line]
+    assert len(merged) == 2
+    for n in merged:
+        inside = []
+        for m in range(n + 1, len(plan)):
+            if depth[m] <= depth[n]:
+                break
+            inside.append(plan[m])
+        assert any("Join Inner" in line for line in inside)
