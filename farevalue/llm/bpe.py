@@ -2,7 +2,9 @@
 
 Every text is encoded whole. A long text is first cut at places where the
 splitting pattern always ends a match, so that the library gets pieces of bounded
-size; the ids are those of the uncut text.
+size; the ids are those of the uncut text. A very long run of white space is one match
+of the pattern, at which the library's own matching fails, so its bytes are merged as
+the one piece that they are.
 """
 
 from __future__ import annotations
@@ -25,6 +27,13 @@ PIECE_CHARS = 50_000
 # matches are "optional space, then one class" or "white space only" crosses it.
 _BOUNDARY = re.compile(r"(?<=\S)(?=[ \n\t])")
 
+# What the pattern takes for white space; Python's own class differs.
+_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+
+# Runs of white space from this length on are encoded without the pattern.
+LONG_SPACE = 100_000
+_LONG_SPACE = re.compile(f"[{_SPACE}]{{{LONG_SPACE},}}")
+
 
 @lru_cache(maxsize=4)
 def load_encoding(rank_file: str, pattern: str) -> tiktoken.Encoding:
@@ -46,9 +55,28 @@ def split_text(text: str, size: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
+def space_matches(text: str) -> Iterator[tuple[int, int]]:
+    """Start and end of the pattern's match in every long run of white space.
+
+    Before another character the pattern leaves the last one of the run to the next match.
+    """
+    for run in _LONG_SPACE.finditer(text):
+        yield run.start(), run.end() - (run.end() < len(text))
+
+
 def encode_text(encoding: tiktoken.Encoding, text: str, size: int = PIECE_CHARS) -> list[int]:
     if len(text) <= size:
         return encoding.encode_ordinary(text)
+    ids: list[int] = []
+    at = 0
+    for start, end in space_matches(text):
+        ids += encode_pieces(encoding, text[at:start], size)
+        ids += encoding._encode_single_piece(text[start:end].encode())
+        at = end
+    return ids + encode_pieces(encoding, text[at:], size)
+
+
+def encode_pieces(encoding: tiktoken.Encoding, text: str, size: int) -> list[int]:
     return [i for piece in split_text(text, size) for i in encoding.encode_ordinary(piece)]
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
 from collections.abc import Iterator
 
@@ -68,6 +70,20 @@ class WordHashes(dict):
 
 WORKER_HASHES = WordHashes()
 
+
+def forget() -> None:
+    """Empty the memories that one Python worker keeps between tasks, and give freed memory back
+    to the system. A worker serves one query after the other, so what an operator leaves in
+    it would count beside what the next one needs."""
+    WORKER_HASHES.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library, which returns memory by its own rules
+        pass
+
+
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 MIX = np.uint64(0xD6E8FEB86659FD93)
 

@@ -10,11 +10,12 @@ their rank.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import chain, filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from farevalue.llm.common import select_text, slices, stored
+from farevalue.llm.common import forget, select_text, slices, stored
 
 CAPACITY = 4096
 END_ID = 1
@@ -30,6 +31,9 @@ END_ID = 1
 # Encoded words that one Python worker remembers; the memory starts anew when full.
 MEMORY = 1_500_000
 
+# New words that the tokenizer is asked for at a time; it takes about 1 KB for each meanwhile.
+PORTION = 5000
+
 # Pieces of one length that are ranked in one group.
 RANK_GROUP = 200_000
 
@@ -40,13 +44,16 @@ class WordIds(dict):
     The tokenizer drops white space and never merges across it, nor across the border
     of letters and a full stop or comma, and lower-cases first. So a text's ids are
     those of its words in turn, and a word that ends a clause has the ids of the plain
-    word and of the sign.
+    word and of the sign. A text that holds a special string of the file, which has an
+    id of its own as it stands and in no other case, is encoded by the library as a whole.
     """
 
     def __init__(self, tokenizer_file: str, size: int = MEMORY):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
-        self.tokenizer.encode_special_tokens = True
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.special = re.compile("|".join(re.escape(a.content) for a in added) or "(?!)")
+        self.tokenizer.encode_special_tokens = True  # words have none, whatever their case was
         self.size = size
         self.signs = {sign: self.ask([sign])[0] for sign in (b".", b",")}
 
@@ -61,6 +68,11 @@ class WordIds(dict):
         if len(self) + len(new) > self.size:
             self.clear()
             new = set(chain.from_iterable(words))
+        new = iter(new)
+        while portion := list(islice(new, PORTION)):
+            self.add(portion)
+
+    def add(self, new: list[bytes]) -> None:
         ended, plain = [], set()
         for word in new:
             if word[-1:] in self.signs and word[:-1].isalpha():  # ASCII letters only
@@ -75,10 +87,17 @@ class WordIds(dict):
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit numbers."""
-        words = [lower_latin(t).split() for t in texts]
-        self.learn(words)
-        for found in words:
-            yield b"".join(map(self.__getitem__, found))
+        words = [None if self.special.search(t) else lower_latin(t).split() for t in texts]
+        self.learn([w for w in words if w is not None])
+        for text, found in zip(texts, words, strict=True):
+            yield self.whole(text) if found is None else b"".join(map(self.__getitem__, found))
+
+    def whole(self, text: str) -> bytes:
+        """The ids of a text with special strings."""
+        self.tokenizer.encode_special_tokens = False
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        self.tokenizer.encode_special_tokens = True
+        return np.array(ids, dtype="<u4").tobytes()
 
 
 def lower_latin(text: str) -> bytes:
@@ -93,6 +112,8 @@ def lower_latin(text: str) -> bytes:
 
 @lru_cache(maxsize=2)
 def load_word_ids(tokenizer_file: str, memory: int) -> WordIds:
+    """The memory of a worker, which first gives back what other operators left in it."""
+    forget()
     return WordIds(tokenizer_file, memory)
 
 

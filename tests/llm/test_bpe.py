@@ -46,3 +46,19 @@ def test_cut_text_has_the_ids_of_the_whole_text():
 
 def test_empty_table(spark, documents):
     assert bpe.encode(documents([]), RANKS, PATTERN).count() == 0
+
+
+def test_long_white_space_equals_the_library():
+    encoding = bpe.load_encoding(RANKS, PATTERN)
+    for space in (" ", "\n", " \t", "\xa0\u3000 "):
+        for before in ("", "Word,", "9 "):
+            for after in ("", "x", "\u00e9 y", "!"):
+                text = before + space * 120_000 + after
+                assert bpe.encode_text(encoding, text) == encoding.encode_ordinary(text)
+
+
+def test_five_million_spaces(spark, documents):
+    texts = [" " * 5_000_000, "\t" * 5_000_000 + "x", "a" + " \n" * 2_500_000 + "b " * 9]
+    encoded = bpe.encode(documents(list(enumerate(texts))), RANKS, PATTERN)
+    rows = {r.doc_id: bytes(r.bytes) for r in bpe.decode(encoded, RANKS, PATTERN).collect()}
+    assert rows == {n: t.encode() for n, t in enumerate(texts)}

@@ -44,22 +44,25 @@ def test_plan_is_gapless_and_places_every_piece(seed):
 
 TEXTS = [
     "Word, WORD. word.. a.b, don't I'LL", "L'Été, ÜBER. ñ. ﬁ Å K", "H̱ É É İ ΣΑΣ", "<|endoftext|> x",
-    "a\x1cb c\x85d e\xa0f　g\x0bh", "中文 テスト", " \n", "x" * 3000,
+    "hello <|endoftext|> world", "<|ENDOFTEXT|> x<|startoftext|>Y. <|endoftext", "a\x1cb c\x85d e\xa0f　g\x0bh", "中文 テスト", " \n", "x" * 3000,
 ]
 
 
 def test_word_ids_equal_the_tokenizer():
     plain = Tokenizer.from_file(FILE)
-    plain.encode_special_tokens = True
     words = packing.WordIds(FILE, size=6)
     for text, found in zip(TEXTS * 2, words.encode(TEXTS * 2), strict=True):
         expected = plain.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(found, "<u4").tolist() == expected
 
 
+def test_special_strings_have_their_own_ids():
+    (found,) = packing.WordIds(FILE).encode(["hello <|endoftext|> world"])
+    assert np.frombuffer(found, "<u4").tolist() == [3306, 49407, 1002]
+
+
 def test_pack_against_the_tokenizer(spark, documents):
     plain = Tokenizer.from_file(FILE)
-    plain.encode_special_tokens = True
     rows = [(n, t) for n, t in enumerate([*TEXTS, None, "", "word " * 700])] + [(None, "x"), (0, "x")]
     found = packing.pack(documents(rows), FILE, capacity=64).collect()
     texts = defaultdict(list)
