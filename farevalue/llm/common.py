@@ -5,7 +5,7 @@ from __future__ import annotations
 import ctypes
 import gc
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -71,11 +71,23 @@ class WordHashes(dict):
 WORKER_HASHES = WordHashes()
 
 
-def forget() -> None:
-    """Empty the memories that one Python worker keeps between tasks, and give freed memory back
-    to the system. A worker serves one query after the other, so what an operator leaves in
-    it would count beside what the next one needs."""
-    WORKER_HASHES.clear()
+# Functions that empty the memories which operators keep in a worker, and who used it last.
+MEMORIES: list[Callable[[], None]] = [WORKER_HASHES.clear]
+_LAST_OPERATOR: list[str] = []
+
+
+def take_over(operator: str) -> None:
+    """Called where an operator's task begins: if another operator used this Python worker last,
+    empty what it keeps between tasks, and give freed memory back to the system.
+
+    A worker serves one query after the other, so what an operator leaves in it would count
+    beside what the next one needs.
+    """
+    if _LAST_OPERATOR == [operator]:
+        return
+    _LAST_OPERATOR[:] = [operator]
+    for empty in MEMORIES:
+        empty()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from farevalue.llm.common import forget, select_text, slices, stored
+from farevalue.llm.common import MEMORIES, select_text, slices, stored, take_over
 
 CAPACITY = 4096
 END_ID = 1
@@ -112,11 +112,12 @@ def lower_latin(text: str) -> bytes:
 
 @lru_cache(maxsize=2)
 def load_word_ids(tokenizer_file: str, memory: int) -> WordIds:
-    """The memory of a worker, which first gives back what other operators left in it."""
-    forget()
     return WordIds(tokenizer_file, memory)
 
 
+MEMORIES.append(load_word_ids.cache_clear)
+
+
 def tokenize_pieces(
     docs: DataFrame,
     tokenizer_file: str,
@@ -138,6 +139,7 @@ def tokenize_pieces(
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("packing")
         words = load_word_ids(tokenizer_file, memory)
         for batch in slices(batches, "text"):
             ids, numbers, starts, lengths, sums, raw = [], [], [], [], [], []

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import fresh_name, select_text, slices
+from farevalue.llm.common import fresh_name, select_text, slices, take_over
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -158,6 +158,7 @@ def fit(
     texts = select_text(docs, id_column, text_column).dropna().join(chosen, "doc_id")
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("toxicity")
         for batch in slices(batches, "text"):
             found = [list(text_features(t)) for t in batch.column("text").to_pylist()]
             yield pa.record_batch(
@@ -189,6 +190,7 @@ def fit(
     shared = spark.sparkContext.broadcast(names)
 
     def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("toxicity")
         known = shared.value
         for batch in slices(batches, "text"):
             found = [
@@ -228,6 +230,7 @@ def grade(docs: DataFrame, model: Model, text_column: str = "text") -> DataFrame
 
     @F.arrow_udf("struct<grade: int, expected_severity: double>")
     def graded(texts: pa.Array) -> pa.Array:
+        take_over("toxicity")
         known = shared.value
         grades, expected = [], []
         for text in texts:  # one text at a time becomes a Python string
