@@ -21,8 +21,8 @@ through a shard's automaton is only what may repeat.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
-from itertools import compress
+from collections.abc import Iterable, Iterator
+from itertools import compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +30,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import WORD_RE, groups, roll, slices, stored, words_of
+from farevalue.llm.common import slices, stored
+from farevalue.llm.wordspans import Words, roll_hashes, span_keys
 
 LENGTH = 20
 
@@ -47,16 +48,56 @@ DEALS = 1024
 POSITION_BITS = 24
 
 
-def runs_of(words: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(anchors, starts)`` of the runs; ``starts`` ends with the number of windows."""
-    windows = len(words) - length + 1
-    if windows < 1:
-        return np.empty(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
-    n = min(ANCHOR, length)
-    rolled = roll(words, n)
-    chosen = leftmost_lowest(rolled, length - n + 1)
-    starts = np.flatnonzero(np.diff(chosen, prepend=-1))
-    return rolled[chosen[starts]], np.append(starts, windows)
+class Runs:
+    """The runs and chunks of a batch of texts, by the numbers of its words.
+
+    Run ``r`` is of text ``texts[r]`` and has the words ``starts[r]`` to ``stops[r]``, which
+    overlap those of the next run; it stands ``at[r]`` words behind the text's first one.
+    Chunk ``c`` has the runs ``begins[c]`` to ``begins[c + 1]`` and the two hashes ``keys[c]``.
+    """
+
+    def __init__(self, words: Words, length: int):
+        hashes = words.hashes()
+        windows = len(hashes) - length + 1
+        n = min(ANCHOR, length)
+        inside = np.empty(0, dtype=np.int64)
+        if windows > 0:
+            last = np.repeat(words.bounds[1:], np.diff(words.bounds))[:windows]
+            inside = np.flatnonzero(np.arange(length, length + windows) <= last)
+        if not len(inside):
+            self.texts = self.starts = self.stops = self.at = inside
+            self.anchors, self.begins = np.empty(0, dtype=np.uint64), np.zeros(1, dtype=np.int64)
+            self.keys = np.empty((0, 2), dtype=np.int64)
+            return
+        rolled = roll_hashes(hashes, n)
+        chosen = leftmost_lowest(rolled, length - n + 1)[inside]
+        first = np.flatnonzero(np.diff(chosen, prepend=-1))  # texts never share a chosen place
+        self.starts = inside[first]
+        self.stops = inside[np.append(first[1:], len(inside)) - 1] + length
+        self.anchors = rolled[chosen[first]]
+        self.texts = np.searchsorted(words.bounds, self.starts, side="right") - 1
+        self.at = self.starts - words.bounds[self.texts]
+        other = np.diff(self.texts, prepend=-1) != 0
+        begins = np.flatnonzero(other | (self.anchors % np.uint64(CHUNK) == 0))
+        self.begins = np.append(begins, len(self.starts))
+        self.keys = span_keys(hashes, self.starts[begins], self.stops[self.begins[1:] - 1])
+
+    def old_chunks(self, new: pa.Array) -> np.ndarray:
+        """Whether each chunk stands earlier in the corpus; ``new`` lists the first hashes of
+        each text's other chunks, which are new at their first place in it."""
+        left = set(zip(*flat(new), strict=True))
+        old = np.ones(len(self.keys), dtype=bool)
+        places = zip(self.texts[self.begins[:-1]].tolist(), self.keys[:, 0].tolist(), strict=True)
+        for c, place in enumerate(places):
+            if place in left:
+                left.remove(place)
+                old[c] = False
+        return old
+
+
+def flat(lists: pa.Array) -> tuple[list[int], list[int]]:
+    """``(row, value)`` of all values of a column of lists of numbers."""
+    return pc.list_parent_indices(lists).to_pylist(), pc.list_flatten(lists).to_pylist()
 
 
 def leftmost_lowest(values: np.ndarray, width: int) -> np.ndarray:
@@ -79,26 +120,6 @@ def leftmost_lowest(values: np.ndarray, width: int) -> np.ndarray:
     return (lowest & np.uint64((1 << POSITION_BITS) - 1)).astype(np.int64)
 
 
-def chunks_of(anchors: np.ndarray) -> np.ndarray:
-    """The first run of every chunk, and the number of runs."""
-    begins = np.flatnonzero(anchors % np.uint64(CHUNK) == 0)
-    if len(anchors) and (not len(begins) or begins[0]):
-        begins = np.append(0, begins)
-    return np.append(begins, len(anchors))
-
-
-def chunk_keys(
-    words: list[bytes], starts: np.ndarray, chunks: np.ndarray, length: int
-) -> list[tuple[int, int]]:
-    """128-bit hashes of the words of every chunk, as two signed numbers."""
-    keys = []
-    for first, end in zip(chunks, chunks[1:], strict=False):
-        part = b" ".join(words[starts[first] : starts[end] + length - 1])
-        digest = hashlib.blake2b(part, digest_size=16).digest()
-        keys.append(tuple(int.from_bytes(digest[k : k + 8], signed=True) for k in (0, 8)))
-    return keys
-
-
 def marks(rows: DataFrame, length: int) -> DataFrame:
     """``kind, one, two, doc_id, at``: anchors (kind 0) and chunks (kind 1) of all documents.
 
@@ -107,33 +128,41 @@ def marks(rows: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            out: list[list[np.ndarray]] = [[], [], [], [], []]
-            for doc, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                words = words_of(text)
-                anchors, starts = runs_of(words, length)
-                if doc is None or not len(anchors):
-                    continue
-                chunks = chunks_of(anchors)
-                keys = np.array(
-                    sorted(set(chunk_keys(words, starts, chunks, length))), dtype=np.int64
-                )
-                total = len(anchors) + len(keys)
-                out[0].append(np.repeat([0, 1], [len(anchors), len(keys)]))
-                out[1].append(np.append(anchors.view(np.int64), keys[:, 0]))
-                out[2].append(np.append(np.zeros(len(anchors), dtype=np.int64), keys[:, 1]))
-                out[3].append(np.full(total, doc))
-                out[4].append(np.append(starts[:-1], np.zeros(len(keys), dtype=np.int64)))
-            if out[0]:
-                yield pa.record_batch(
-                    [pa.array(np.concatenate(c), pa.int64()) for c in out],
-                    names=["kind", "one", "two", "doc_id", "at"],
-                )
+            runs = Runs(Words(batch.column("text")), length)
+            docs, given = ids_of(batch)
+            kept = given[runs.texts]
+            texts = runs.texts[runs.begins[:-1]]
+            order = np.lexsort((runs.keys[:, 1], runs.keys[:, 0], texts))
+            triples = np.column_stack([texts, runs.keys])[order]
+            once = np.ones(len(order), dtype=bool)
+            once[1:] = (triples[1:] != triples[:-1]).any(axis=1)
+            chunks = triples[once & given[texts[order]]]
+            anchors = runs.anchors[kept].view(np.int64)
+            none, nulls = np.zeros_like(anchors), np.zeros(len(chunks), dtype=np.int64)
+            columns = [
+                np.append(none, nulls + 1),
+                np.append(anchors, chunks[:, 1]),
+                np.append(none, chunks[:, 2]),
+                np.append(docs[runs.texts[kept]], docs[chunks[:, 0]]),
+                np.append(runs.at[kept], nulls),
+            ]
+            yield pa.record_batch(
+                [pa.array(c, pa.int64()) for c in columns],
+                names=["kind", "one", "two", "doc_id", "at"],
+            )
 
     return rows.select("doc_id", "text").mapInArrow(
         run, "kind long, one long, two long, doc_id long, at long"
     )
 
 
+def ids_of(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of a batch, and which of them are not null."""
+    docs = batch.column("doc_id")
+    given = docs.is_valid().to_numpy(zero_copy_only=False)
+    return pc.fill_null(docs, 0).to_numpy(zero_copy_only=False), given
+
+
 class Automaton:
     """A suffix automaton of several word sequences.
 
@@ -214,28 +243,28 @@ def covered(statistics: list[int], length: int) -> list[tuple[int, int]]:
 
 
 def repeated_spans(
-    sequences: Iterator[tuple[int, int, str]], length: int
+    sequences: Iterable[tuple[int, int, str]], length: int
 ) -> Iterator[tuple[int, int, int]]:
     """``(document, start, end)`` of what stands in an earlier sequence of a shard.
 
     ``sequences`` are documents, first word numbers and words joined by spaces, in order.
     """
     automaton = Automaton()
-    seen: set[str] = set()
-    last = None
+    last, waiting = None, None
     for doc, at, text in sequences:
         if last == (doc, at):  # the same place again, of a repeated row
             continue
-        last = (doc, at)
         words = text.split(" ")
-        if text in seen:
-            yield doc, at, at + len(words)
-            continue
-        if seen:
-            for start, end in covered(automaton.statistics(words), length):
+        if last is not None:
+            if waiting is not None:  # the last sequence of a shard need not be taken in
+                automaton.add(waiting)
+            statistics = automaton.statistics(words)
+            for start, end in covered(statistics, length):
                 yield doc, at + start, at + end
-        seen.add(text)
-        automaton.add(words)
+            waiting = None if statistics[-1] == len(words) else words  # known as a whole
+        else:
+            waiting = words
+        last = (doc, at)
 
 
 def candidate_runs(marked: DataFrame, length: int) -> DataFrame:
@@ -243,44 +272,27 @@ def candidate_runs(marked: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            rows = []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "single", "new"))
-            for doc, text, single, new in zip(*columns, strict=True):
-                words = words_of(text)
-                anchors, starts = runs_of(words, length)
-                if doc is None or not len(anchors):
-                    continue
-                wanted = ~np.isin(starts[:-1], single or [])
-                for first, end in old_chunks(words, anchors, starts, new or [], length):
-                    wanted[first:end] = False
-                for r in np.flatnonzero(wanted):
-                    part = words[starts[r] : starts[r + 1] + length - 1]
-                    rows.append((int(anchors[r].view(np.int64)), doc, int(starts[r]), b" ".join(part).decode()))
-            if rows:
-                kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-                yield pa.record_batch(
-                    [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                    names=["anchor", "doc_id", "at", "words"],
-                )
+            words = Words(batch.column("text"))
+            runs = Runs(words, length)
+            docs, given = ids_of(batch)
+            row, at = (np.array(c, dtype=np.int64) for c in flat(batch.column("single")))
+            single = np.isin(runs.texts << 40 | runs.at, row << 40 | at)
+            old = np.repeat(runs.old_chunks(batch.column("new")), np.diff(runs.begins))
+            wanted = np.flatnonzero(~single & ~old & given[runs.texts])
+            places = zip(runs.starts[wanted].tolist(), runs.stops[wanted].tolist(), strict=True)
+            yield pa.record_batch(
+                [
+                    pa.array(runs.anchors[wanted].view(np.int64)),
+                    pa.array(docs[runs.texts[wanted]]),
+                    pa.array(runs.at[wanted]),
+                    pa.array([words.join(*p) for p in places], pa.string()),
+                ],
+                names=["anchor", "doc_id", "at", "words"],
+            )
 
     return marked.mapInArrow(run, "anchor long, doc_id long, at long, words string")
 
 
-def old_chunks(
-    words: list[bytes], anchors: np.ndarray, starts: np.ndarray, new: list[int], length: int
-) -> Iterator[tuple[int, int]]:
-    """Runs ``(first, end)`` of the chunks that stand earlier in the corpus."""
-    chunks = chunks_of(anchors)
-    left = set(new)
-    for (key, _), first, end in zip(
-        chunk_keys(words, starts, chunks, length), chunks, chunks[1:], strict=False
-    ):
-        if key in left:
-            left.remove(key)
-        else:
-            yield first, end
-
-
 def window_key(window: str) -> tuple[int, int]:
     """128-bit hash of the words of a window, as two signed numbers."""
     digest = hashlib.blake2b(window.encode(), digest_size=16).digest()
@@ -368,7 +380,8 @@ def shard_spans(runs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places = FirstPlaces()
-        carried: list[pa.RecordBatch] = []  # runs of the last anchor so far
+        shard: list[tuple[int, int, str]] = []  # runs of the last anchor so far
+        last = None
 
         def of_windows(windows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             state = places.split(windows)
@@ -379,14 +392,28 @@ def shard_spans(runs: DataFrame, length: int) -> DataFrame:
                 keys = [none if kind else part.column(c) for c in ("one", "two")]
                 yield pa.record_batch([part.column("doc_id"), start, pc.add(start, length), *keys], names=names)
 
-        def of_shard(shard: pa.Table) -> Iterator[pa.RecordBatch]:
-            if shard.num_rows > 1:
-                rows = (shard.column(c).to_pylist() for c in ("doc_id", "at", "words"))
-                found = list(repeated_spans(zip(*rows, strict=True), length))
-                if found:
-                    none = pa.nulls(len(found), pa.int64())
-                    columns = (pa.array(list(c), pa.int64()) for c in zip(*found, strict=True))
-                    yield pa.record_batch([*columns, none, none], names=names)
+        def of_shards(rest: pa.RecordBatch) -> Iterator[tuple[int, int, int]]:
+            """What is found in the shards that end in this batch."""
+            nonlocal last
+            anchors = rest.column("anchor").to_numpy()
+            rows = list(zip(*(rest.column(c).to_pylist() for c in ("doc_id", "at", "words")), strict=True))
+            begins = np.flatnonzero(np.diff(anchors)) + 1
+            for start, end in pairwise([0, *begins.tolist(), len(rows)]):
+                if anchors[start] != last:
+                    yield from of_shard()
+                    last = anchors[start]
+                shard.extend(rows[start:end])
+
+        def of_shard() -> Iterator[tuple[int, int, int]]:
+            if len(shard) > 1:
+                yield from repeated_spans(shard, length)
+            shard.clear()
+
+        def told_spans(found: list[tuple[int, int, int]]) -> Iterator[pa.RecordBatch]:
+            if found:
+                none = pa.nulls(len(found), pa.int64())
+                columns = (pa.array(list(c), pa.int64()) for c in zip(*found, strict=True))
+                yield pa.record_batch([*columns, none, none], names=names)
 
         for batch in batches:
             single = batch.column("words").is_null()
@@ -394,12 +421,8 @@ def shard_spans(runs: DataFrame, length: int) -> DataFrame:
             if windows.num_rows:
                 yield from of_windows(windows)
             if rest.num_rows:
-                *shards, last = groups(iter([*carried, rest]), 1)
-                carried = last.to_batches()
-                for shard in shards:
-                    yield from of_shard(shard)
-        if carried:
-            yield from of_shard(pa.Table.from_batches(carried))
+                yield from told_spans(list(of_shards(rest)))
+        yield from told_spans(list(of_shard()))
 
     told = stored(
         dealt(runs).mapInArrow(run, "doc_id long, start long, end long, one long, two long"), "spans"
@@ -416,12 +439,14 @@ def shard_spans(runs: DataFrame, length: int) -> DataFrame:
     return told.filter(F.col("one").isNull()).select("doc_id", "start", "end").union(again.select("place.*"))
 
 
-def cut_words(text: str, stays: np.ndarray) -> str:
-    """``text`` without the words that do not stay, each with the white space behind it."""
-    begins = [m.start() for m in WORD_RE.finditer(text)]
-    parts = [text[: begins[0]]]
-    parts += [text[a:b] for a, b, s in zip(begins, [*begins[1:], len(text)], stays) if s]
-    return "".join(parts)
+def cut_words(words: Words, text: int, stays: np.ndarray) -> bytes:
+    """A text without the words that do not stay, each with the white space behind it."""
+    first, end = words.bounds[text : text + 2]
+    begins = words.starts[first:end].tolist()
+    parts = [words.raw[words.offsets[text] : begins[0]]]
+    ends = [*begins[1:], words.offsets[text + 1]]
+    parts += [words.raw[a:b] for a, b in compress(zip(begins, ends, strict=True), stays[first:end])]
+    return b"".join(parts)
 
 
 def remove_repeats(
@@ -482,23 +507,32 @@ def remove_repeats(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            totals, removed, texts = [], [], []
-            columns = (batch.column(c).to_pylist() for c in ("doc_id", "text", "new", "spans"))
-            for doc, text, new, found in zip(*columns, strict=True):
-                words = words_of(text)
-                stays = np.ones(len(words), dtype=bool)
-                anchors, starts = runs_of(words, length)
-                if doc is not None and len(anchors):
-                    for first, end in old_chunks(words, anchors, starts, new or [], length):
-                        stays[starts[first] : starts[end] + length - 1] = False
-                for span in found or ():
-                    stays[span["start"] : span["end"]] = False
-                totals.append(len(words))
-                removed.append(len(words) - int(stays.sum()))
+            words = Words(batch.column("text"))
+            runs = Runs(words, length)
+            _, given = ids_of(batch)
+            old = np.flatnonzero(runs.old_chunks(batch.column("new")) & given[runs.texts[runs.begins[:-1]]])
+            row = pc.list_parent_indices(batch.column("spans")).to_numpy()
+            span = pc.list_flatten(batch.column("spans"))
+            # One more cover begins at each start and ends at each end.
+            covers = np.zeros(len(words.starts) + 1, dtype=np.int64)
+            for step, chunks, name in (
+                (1, runs.starts[runs.begins[old]], "start"),
+                (-1, runs.stops[runs.begins[old + 1] - 1], "end"),
+            ):
+                np.add.at(covers, chunks, step)
+                np.add.at(covers, words.bounds[row] + span.field(name).to_numpy(zero_copy_only=False), step)
+            stays = np.cumsum(covers)[:-1] == 0
+            gone = np.concatenate([[0], np.cumsum(~stays)])[words.bounds]
+            totals, removed = np.diff(words.bounds), np.diff(gone)
+            texts = []
+            for t, cut in enumerate(removed.tolist()):
+                first, end = words.bounds[t : t + 2]
                 if layout:
-                    texts.append(text if stays.all() else cut_words(text, stays))
+                    texts.append(cut_words(words, t, stays) if cut else batch.column("text")[t].as_py())
+                elif cut:
+                    texts.append(b" ".join(compress(words.join(first, end).split(b" "), stays[first:end])))
                 else:
-                    texts.append(b" ".join(compress(words, stays)).decode())
+                    texts.append(words.join(first, end))
             yield pa.record_batch(
                 [
                     batch.column("doc_id"),

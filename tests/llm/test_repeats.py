@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from farevalue.llm import repeats
+from farevalue.llm.common import WORD_RE
 from pyspark.sql import functions as F
 
 
@@ -11,7 +12,7 @@ def plain_removed(rows, length):
     """Words to remove by document, from all windows in the order of the corpus."""
     seen, removed = set(), {}
     for doc, text in sorted(rows, key=lambda r: r[0]):
-        words = repeats.WORD_RE.findall(text or "")
+        words = WORD_RE.findall(text or "")
         gone = removed.setdefault(doc, set())
         for at in range(len(words) - length + 1):
             window = tuple(words[at : at + length])
@@ -41,7 +42,7 @@ def check(found, rows, length=20):
     removed = plain_removed(rows, length)
     said = {r.doc_id: r for r in found}
     for doc, text in rows:
-        words = repeats.WORD_RE.findall(text or "")
+        words = WORD_RE.findall(text or "")
         kept = [w for i, w in enumerate(words) if i not in removed[doc]]
         got = said[doc]
         assert (got.n_words, got.n_removed, got.kept) == (len(words), len(removed[doc]), " ".join(kept))
