@@ -20,7 +20,6 @@ through a shard's automaton is only what may repeat.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import compress, pairwise
 
@@ -293,42 +292,30 @@ def candidate_runs(marked: DataFrame, length: int) -> DataFrame:
     return marked.mapInArrow(run, "anchor long, doc_id long, at long, words string")
 
 
-def window_key(window: str) -> tuple[int, int]:
-    """128-bit hash of the words of a window, as two signed numbers."""
-    digest = hashlib.blake2b(window.encode(), digest_size=16).digest()
-    return tuple(int.from_bytes(digest[k : k + 8], signed=True) for k in (0, 8))
-
-
 def cut_hot(runs: DataFrame, hot: DataFrame, length: int) -> DataFrame:
-    """Add ``one, two``: 0, and for hot anchors a hash of each window's words.
+    """Add ``one, two``: 0, and for hot anchors two hashes of each window's words.
 
     Their runs become single windows, which leave their words behind, so that different
-    ones spread over all tasks.
+    ones spread over all tasks. No Python here: this runs in the tasks of
+    ``candidate_runs``, and a second worker for each would double their memory.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "words"):
-            rows = []
-            for anchor, doc, at, text, is_hot in zip(
-                *(c.to_pylist() for c in batch.columns), strict=True
-            ):
-                if is_hot:
-                    words = text.split(" ")
-                    for k in range(len(words) - length + 1):
-                        key = window_key(" ".join(words[k : k + length]))
-                        rows.append((anchor, *key, doc, at + k, None))
-                else:
-                    rows.append((anchor, 0, 0, doc, at, text))
-            kinds = (*[pa.int64()] * 5, pa.string())
-            yield pa.record_batch(
-                [pa.array(list(c), k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)],
-                names=["anchor", "one", "two", "doc_id", "at", "words"],
-            )
-
-    return (
-        runs.join(hot, "anchor", "left")
-        .select("anchor", "doc_id", "at", "words", F.col("hot").isNotNull().alias("hot"))
-        .mapInArrow(run, "anchor long, one long, two long, doc_id long, at long, words string")
+    words = F.split("words", " ")
+    windows = F.transform(
+        F.sequence(F.lit(0), F.size(words) - length),
+        lambda k: F.struct(k.alias("behind"), F.array_join(F.slice(words, k + 1, length), " ").alias("words")),
+    )
+    cut = runs.join(hot, "anchor", "left").select(
+        "anchor", "doc_id", "at", "words", F.explode_outer(F.when(F.col("hot"), windows)).alias("window")
+    )
+    whole = F.col("window").isNull()
+    none = F.lit(0).cast("long")
+    return cut.select(
+        "anchor",
+        F.when(whole, none).otherwise(F.xxhash64("window.words")).alias("one"),
+        F.when(whole, none).otherwise(F.xxhash64(F.lit(length), "window.words")).alias("two"),
+        "doc_id",
+        (F.col("at") + F.coalesce("window.behind", F.lit(0))).alias("at"),
+        F.when(whole, F.col("words")).alias("words"),
     )
 
 
