@@ -333,7 +333,9 @@ def near_duplicates(
     )
     classes = without_ids(usable, "doc_id", stored(copies, "copies"))
     lists = stored(inverted_rows(classes, percent), "lists")
+    # Links are stored before they are contracted, so that no task has two Python workers.
     partners = group_members(in_blocks(lists, "gram", "doc_id", LIST_BLOCK), percent)
+    partners = stored(partners, "partners")
     gathered = stored(connected_components(partners), "gathered")
     grouped = gathered.withColumnRenamed("node", "doc_id")
     sieved, found_in = with_sieve(rows, "doc_id", grouped.select("doc_id"))
@@ -343,7 +345,7 @@ def near_duplicates(
         .select(F.col("component_id").alias("group"), "doc_id", "text")
     )
     links = verified_links(in_blocks(texts, "group", "doc_id", GROUP_BLOCK), n, percent)
-    parts = connected_components(links)
+    parts = connected_components(stored(links, "verified"))
     known = first.join(parts, "node", "left").select(
         "key", F.coalesce("component_id", "node").alias("component")
     )
