@@ -31,6 +31,9 @@ SEED = 20_240_607
 # and all pairs of blocks.
 BLOCK = 2_000
 
+# Pairs of a group that are looked at in one step.
+PAIRS = 200_000
+
 
 def planes(dimension: int, tables: int, bits: int) -> np.ndarray:
     rng = np.random.default_rng([SEED, dimension])
@@ -119,11 +122,25 @@ def bucket_rows(classes: DataFrame, tables: int, bits: int) -> DataFrame:
     )
 
 
+def join(lowest: np.ndarray, one: np.ndarray, other: np.ndarray) -> None:
+    """Take in links: ``lowest`` names the smallest member of each row's set, in place."""
+    while True:
+        one, other = lowest[one], lowest[other]
+        different = one != other
+        if not different.any():
+            return
+        one, other = one[different], other[different]
+        np.minimum.at(lowest, np.maximum(one, other), np.minimum(one, other))
+        while (lowest[lowest] != lowest).any():
+            lowest[:] = lowest[lowest]
+
+
 def compare_bucket(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(ids, links, roots)`` of the vectors that have links in one pair of blocks.
 
     A pair counts here only if no earlier table has it in one bucket too. Rows of equal
-    blocks are compared with each other, others with the other block only.
+    blocks are compared with each other, others with the other block only. Memory is
+    bounded by ``PAIRS`` at a time, however many of them are linked.
     """
     lane = group.column("lane")[0].as_py()
     ids = group.column("vec_id").to_numpy()
@@ -131,28 +148,26 @@ def compare_bucket(group: pa.Table, least: float) -> tuple[np.ndarray, np.ndarra
     own = group.column("own").to_numpy()
     unit = np.array([np.frombuffer(u) for u in group.column("unit").to_pylist()])
     codes = np.array([np.frombuffer(c, dtype=np.int32) for c in group.column("codes").to_pylist()])
-    linked = unit @ unit.T >= least
-    if group.column("left")[0].as_py() != group.column("right")[0].as_py():
-        linked &= own[:, None] != own
-    np.fill_diagonal(linked, False)
-    one, other = np.nonzero(linked)
-    if lane:
-        new = ~(codes[one, :lane] == codes[other, :lane]).any(axis=1)
-        one, other = one[new], other[new]
-    links = np.bincount(one, weights=sizes[other], minlength=len(ids)).astype(np.int64)
-    roots = np.arange(len(ids))
+    apart = group.column("left")[0].as_py() != group.column("right")[0].as_py()
     order = np.argsort(ids, kind="stable")
     rank = np.empty_like(order)
     rank[order] = np.arange(len(ids))
-    lowest = rank.copy()
-    while True:  # the smallest id spreads along links
-        spread = lowest.copy()
-        np.minimum.at(spread, one, lowest[other])
-        spread = spread[order[spread]]
-        if (spread == lowest).all():
-            break
-        lowest = spread
-    roots = ids[order[lowest]]
+    links = np.zeros(len(ids), dtype=np.int64)
+    lowest = np.arange(len(ids))  # by rank: the smallest rank known to be reached
+    rows = max(1, PAIRS // len(ids))
+    for start in range(0, len(ids), rows):
+        linked = unit[start : start + rows] @ unit.T >= least
+        if apart:
+            linked &= own[start : start + rows, None] != own
+        one, other = np.nonzero(linked)
+        one += start
+        new = one != other
+        if lane:
+            new &= ~(codes[one, :lane] == codes[other, :lane]).any(axis=1)
+        one, other = one[new], other[new]
+        np.add.at(links, one, sizes[other])
+        join(lowest, rank[one], rank[other])
+    roots = ids[order[lowest[rank]]]
     has = links > 0
     return ids[has], links[has], roots[has]
 

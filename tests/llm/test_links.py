@@ -1,6 +1,7 @@
 """Connected components and the near-duplicate operators, against brute force."""
 
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -171,3 +172,29 @@ def test_each_pair_counts_once(spark):
 def test_empty_embeddings(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>, x int")
     assert embeddings.deduplicate(table).count() == 0
+
+
+def test_a_bucket_of_near_copies_takes_bounded_memory():
+    rng = np.random.default_rng(31)
+    raw = rng.standard_normal(64) + 0.01 * rng.standard_normal((4000, 64))
+    raw[3000:] *= -1  # a second set
+    unit = raw / np.linalg.norm(raw, axis=1, keepdims=True)
+    ids = rng.permutation(4000).astype(np.int64) * 3
+    codes = rng.integers(0, 1 << 30, (4000, 24)).astype(np.int32)
+    codes[:2, 5] = 7  # this pair has met before
+    same = pa.array(np.zeros(4000, dtype=np.int32))
+    group = pa.table({
+        "lane": pa.array(np.full(4000, 23, dtype=np.int32)), "vec_id": ids,
+        "size": np.ones(4000, dtype=np.int64), "own": same, "left": same, "right": same,
+        "unit": [u.tobytes() for u in unit], "codes": [c.tobytes() for c in codes],
+    })
+    tracemalloc.start()
+    found, links, roots = embeddings.compare_bucket(group, 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300_000_000
+    assert (found == ids).all()
+    expected = np.where(np.arange(4000) < 3000, 2999, 999)
+    expected[:2] -= 1
+    assert (links == expected).all()
+    assert set(roots[:3000]) == {ids[:3000].min()} and set(roots[3000:]) == {ids[3000:].min()}
