@@ -182,7 +182,7 @@ def toxicity_grades(spark: SparkSession, folder: str) -> DataFrame:
 def license_scan(spark: SparkSession, folder: str) -> DataFrame:
     counted, findings = licenses.scan(table(spark, folder, "documents"))
     first = F.col("exact")
-    per_document = findings.groupBy("doc_id").agg(
+    per_document = findings.groupBy("doc_id", "key").agg(
         F.sum(first.cast("long")).alias("n_base"),
         F.min(F.when(first, F.col("at"))).cast("long").alias("first_word"),
         F.max(F.when(first, F.col("at"))).cast("long").alias("last_word"),
@@ -190,7 +190,7 @@ def license_scan(spark: SparkSession, folder: str) -> DataFrame:
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("all"),
         F.max("score").alias("score"),
     )
-    return counted.join(per_document, "doc_id", "left").select(
+    return counted.join(per_document, ["doc_id", "key"], "left").select(
         "doc_id",
         "n_words",
         F.coalesce("n_base", F.lit(0)).alias("n_base"),
