@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import lower_ascii, select_text, slices, stored
+from farevalue.llm.common import lower_ascii, select_text, slices, stored, with_sieve
 from farevalue.llm.license_templates import NOTICES, PHRASES
 
 # Words: letters, digits and everything outside ASCII, after lower-casing A-Z.
@@ -197,8 +197,11 @@ def verify(docs: DataFrame, spans: DataFrame, templates: list[Template]) -> Data
                 names=["doc_id", "key", "label", "exact", "at", "score"],
             )
 
+    # Texts without spans are left out before the join, which may shuffle.
+    sieved, found_in = with_sieve(docs, "doc_id", spans.select("doc_id"))
     return (
-        docs.join(listed, ["doc_id", "key"])
+        sieved.filter(F.col(found_in))
+        .join(listed, ["doc_id", "key"])
         .select("doc_id", "key", "text", "spans")
         .mapInArrow(run, "doc_id long, key long, label string, exact boolean, at int, score double")
         .distinct()
