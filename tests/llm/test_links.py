@@ -198,3 +198,77 @@ def test_a_bucket_of_near_copies_takes_bounded_memory():
     expected[:2] -= 1
     assert (links == expected).all()
     assert set(roots[:3000]) == {ids[:3000].min()} and set(roots[3000:]) == {ids[3000:].min()}
+
+
+def planted(rng, pairs, dimension, cosine):
+    """Pairs of unit vectors with just this cosine, one below the other."""
+    a = rng.standard_normal((pairs, dimension))
+    a /= np.linalg.norm(a, axis=1, keepdims=True)
+    b = rng.standard_normal((pairs, dimension))
+    b -= (b * a).sum(axis=1, keepdims=True) * a
+    b /= np.linalg.norm(b, axis=1, keepdims=True)
+    return np.stack([a, cosine * a + np.sqrt(1 - cosine**2) * b], axis=1).reshape(-1, dimension)
+
+
+def test_recall_of_planted_links_in_64_dimensions(spark):
+    rng = np.random.default_rng(64)
+    matrix = np.concatenate([planted(rng, 1500, 64, 0.9001), planted(rng, 300, 64, 0.89), rng.standard_normal((400, 64))])
+    rows = [(n, v.tolist(), 0) for n, v in enumerate(matrix)]
+    found = embeddings.deduplicate(spark.createDataFrame(rows, "vec_id long, embedding array<double>, x int")).collect()
+    links = np.zeros(len(rows), dtype=int)
+    for r in found:
+        links[r.vec_id] = r.n_links
+        assert r.component_id == r.vec_id - (r.vec_id % 2 if r.n_links else 0)
+    assert 0.96 <= links[:3000].mean() <= 1
+    assert not links[3000:].any()
+
+
+def test_sketches_drop_no_pair_that_links():
+    rng = np.random.default_rng(12)
+    least = 0.9
+    units = planted(rng, 3000, 64, least)
+    codes = embeddings.codes_of(units, 24, 12)
+    apart = np.bitwise_count(codes[::2] ^ codes[1::2]).sum(axis=1)
+    assert apart.max() <= embeddings.most_apart(288, least)
+    assert np.bitwise_count(codes[::2, :12] ^ codes[1::2, :12]).sum(axis=1).max() <= embeddings.most_apart(144, least)
+    assert embeddings.most_apart(288, 1.0) == 0
+    assert embeddings.most_apart(288, 0.9) < 80 < embeddings.most_apart(288, 0.5)
+
+
+@pytest.mark.parametrize("blocks", [(0, 0), (0, 1)])
+@pytest.mark.parametrize(("tables", "bits", "lane", "first"), [(24, 12, 0, 12), (24, 12, 9, 12), (5, 17, 2, 4)])
+def test_members_that_may_link_against_all_pairs(monkeypatch, blocks, tables, bits, lane, first):
+    monkeypatch.setattr(embeddings, "PAIRS", 700)
+    rng = np.random.default_rng(tables + lane)
+    centres = rng.standard_normal((30, 16))
+    units = np.repeat(centres, 5, axis=0) + rng.uniform(0.2, 2, (150, 1)) * rng.standard_normal((150, 16))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    codes = embeddings.codes_of(units, tables, bits)
+    own = rng.integers(2, size=150).astype(np.int32) * blocks[1]
+    group = pa.table({
+        "lane": np.full(150, lane, dtype=np.int32), "left": np.full(150, blocks[0], dtype=np.int32),
+        "right": np.full(150, blocks[1], dtype=np.int32), "own": own,
+        "sketch": pa.array(embeddings.sketches_of(codes, bits), pa.binary()),
+    })
+    expected = np.zeros(150, dtype=bool)
+    for a in range(150):
+        for b in range(a):
+            if blocks[1] and own[a] == own[b] or lane and (codes[a, :lane] == codes[b, :lane]).any():
+                continue
+            differ = np.bitwise_count(codes[a] ^ codes[b])
+            if differ[:first].sum() <= embeddings.most_apart(bits * first, 0.9) and differ.sum() <= embeddings.most_apart(bits * tables, 0.9):
+                expected[[a, b]] = True
+    assert expected.any()
+    assert tables < 24 or not expected.all()
+    assert (embeddings.may_link(group, tables, bits, 0.9) == expected).all()
+
+
+def test_one_id_with_different_vectors(spark):
+    rng = np.random.default_rng(5)
+    one, two = planted(rng, 2, 8, 0.999).reshape(2, 2, 8)
+    rows = [(5, one[0]), (5, two[0]), (5, np.ones(3)), (7, one[1]), (9, two[1]), (11, -one[0])]
+    table = spark.createDataFrame([(i, v.tolist(), 0) for i, v in rows], "vec_id long, embedding array<double>, x int")
+    said = [(r.vec_id, r.component_id) for r in embeddings.deduplicate(table).collect()]
+    assert sorted(said) == [(5, 5), (5, 5), (5, 5), (7, 5), (9, 5), (11, 11)]
+    links = {r.vec_id: r.n_links for r in embeddings.deduplicate(table).collect()}
+    assert links[7] == links[9] == 1 and links[11] == 0
