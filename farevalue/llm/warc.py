@@ -11,7 +11,7 @@ from __future__ import annotations
 import hashlib
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -19,7 +19,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import slices
+from farevalue.llm.common import SLICE_BYTES, slices
 from farevalue.session import scratch_path
 
 # Payloads of fewer bytes are never written as revisits.
@@ -205,12 +205,26 @@ def merge_ranges(
         yield start, end, number
 
 
+def portions(records: Iterable[tuple], most: int = SLICE_BYTES) -> Iterator[list[tuple]]:
+    """Rows of ``RECORD`` in lists that end where their payloads reach ``most`` bytes."""
+    rows, size = [], 0
+    for row in records:
+        rows.append(row)
+        size += len(row[3] or b"")
+        if size >= most:
+            yield rows
+            rows, size = [], 0
+    if rows:
+        yield rows
+
+
 def read_archives(index: DataFrame, folder: str) -> DataFrame:
     """Read the records of ``index``, any choice of its rows, with merged range reads.
 
     Rows are cut into ranges of a file and offset before they are dealt out, so one
-    large archive is read by several tasks. A payload that does not fit its digest
-    is an error.
+    large archive is read by several tasks. Records leave in batches of some
+    ``SLICE_BYTES`` of payload, or one longer record, however well they were packed. A payload that
+    does not fit its digest is an error.
     """
     block = F.floor(F.col("offset") / READ_BYTES).alias("block")
     chosen = index.select("file", "offset", "length", block)
@@ -233,12 +247,13 @@ def read_archives(index: DataFrame, folder: str) -> DataFrame:
                     for start, end, number in merge_ranges(spans):
                         source.seek(start)
                         raw = source.read(end - start)
-                        rows = [
+                        records = (
                             read_row(raw[o - start : o - start + n])
                             for o, n in spans[done : done + number]
-                        ]
+                        )
                         done += number
-                        yield to_batch(rows, RECORD)
+                        for rows in portions(records):
+                            yield to_batch(rows, RECORD)
                 at = to
 
     return dealt.mapInArrow(run, RECORD)

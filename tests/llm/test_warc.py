@@ -74,3 +74,18 @@ def test_a_damaged_record_is_an_error():
     raw = warc.make_record(1, "u", b"abc", hashlib.sha256(b"abd").hexdigest(), 3, None)
     with pytest.raises(ValueError, match="digest"):
         warc.read_row(raw)
+
+
+def test_pages_that_pack_well_leave_in_bounded_batches(spark, pages, tmp_path):
+    page = "<p>the same line again</p>" * 21_540
+    digest = hashlib.sha256(page.encode()).hexdigest()
+    raw = [warc.make_record(n, "u", page.encode(), digest, len(page), None) for n in range(40)]
+    assert sum(map(len, raw)) * 200 < 40 * len(page)
+    held = []
+    for rows in warc.portions(map(warc.read_row, raw)):
+        held.append(sum(len(r[3]) for r in rows))
+    assert sum(held) == 40 * len(page) and max(held) < warc.SLICE_BYTES + len(page)
+    rows = [(n, "u", f"{n} {page}") for n in range(40)]
+    found = warc.round_trip(pages(rows).coalesce(1), f"{tmp_path}/w").collect()
+    assert sorted((r.page_id, r.payload.decode()) for r in found) == [(n, t) for n, _, t in rows]
+    assert list(warc.portions([])) == []
