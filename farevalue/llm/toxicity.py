@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import fresh_name, select_text, slices, take_over
+from farevalue.llm.common import fresh_name, select_text, slices, stored, take_over
 
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -134,7 +134,8 @@ def fit(
 ) -> Model:
     """Fit a model to at most ``sample_rows`` labelled documents.
 
-    Rows without label, id or text are not used. Without both classes in the sample,
+    Rows without label, id or text are not used; of rows that share an id the least text is. An id
+    with several labels is toxic if one of them says so. Without both classes in the sample,
     or any telling feature, the model grades everything 0. Features are chosen by how far their share differs
     between the classes, from counts that Spark makes; the driver gets the chosen ones
     and where they occur in the sample.
@@ -155,7 +156,14 @@ def fit(
         return Model({}, ())
     spark = docs.sparkSession
     chosen = F.broadcast(spark.createDataFrame(listed, "doc_id long, toxic boolean"))
-    texts = select_text(docs, id_column, text_column).dropna().join(chosen, "doc_id")
+    texts = stored(
+        select_text(docs, id_column, text_column)
+        .dropna()
+        .join(chosen, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min("text").alias("text"), F.first("toxic").alias("toxic")),
+        "labelled",
+    )
 
     def present(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         take_over("toxicity")

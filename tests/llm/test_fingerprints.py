@@ -1,8 +1,10 @@
+import hashlib
 import random
 
 import pyarrow as pa
 import pytest
 from farevalue.llm import fingerprints as f
+from farevalue.llm import queries
 
 
 def test_equal_texts_and_bounds():
@@ -67,3 +69,29 @@ def test_one_row_and_none(spark, documents):
 def test_fingerprint_table(spark, documents):
     found = {r.doc_id: r.fingerprint for r in f.fingerprint(documents([(1, None), (2, "abc é")])).collect()}
     assert found == {1: f.digest(b""), 2: f.digest("abc é".encode())}
+
+
+def plain_query(rows):
+    """The rows of op4, one after the other, as the contract words them."""
+    ordered = sorted(((i, t or "") for i, t in rows), key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for (i, text), (_, after) in zip(ordered, ordered[1:] + ordered[:1], strict=True):
+        half = len(text) // 2
+        edited = (text[: len(text) - half] + after[:half]).encode()
+        own, changed, following = map(f.digest, (text.encode(), edited, after.encode()))
+        yield (
+            i, len(text), hashlib.sha256(edited).hexdigest(), own, changed,
+            f.likeness(own, changed), f.likeness(own, following),
+        )
+
+
+@pytest.mark.parametrize("case", ["many", "one", "none"])
+def test_query_against_plain_rows(spark, documents, tmp_path, case):
+    rng = random.Random(7)
+    words = ["plain", "w\u00f6rter", "\U0001f600\U00010348", "\u6f22\u5b57", "e\u0301"]
+    rows = [(n, " ".join(rng.choices(words, k=rng.randrange(0, 400)))) for n in rng.sample(range(-99, 999), 60)]
+    rows += [(None, "no id"), (None, None), (2000, None), (2001, ""), (2002, "\U0001f600"), (2003, "ab"), rows[0]]
+    rows += [(rows[1][0], "another text of this id"), (3000, "long " * 60_000), (3001, "long " * 60_000)]
+    rows = {"many": rows, "one": [(5, "only one \U0001f600 text")], "none": []}[case]
+    documents(rows).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.quartile_fingerprints(spark, str(tmp_path))
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(plain_query(rows), key=repr)

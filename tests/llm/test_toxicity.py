@@ -1,8 +1,9 @@
+import os
 import random
 
 import numpy as np
 import pytest
-from farevalue.llm import toxicity
+from farevalue.llm import queries, toxicity
 
 BAD = ["vile", "rotten", "nasty", "foulmouth", "foulword"]
 
@@ -80,3 +81,52 @@ def test_without_both_classes_everything_is_harmless(spark, documents):
 def test_equal_counts_share_a_grade():
     toxic = np.array([False, True, True, True, False])
     assert toxicity.severity_grades(toxic, np.array([0, 2, 2, 2, 0])).tolist() == [0, 1, 1, 1, 0]
+
+
+def write_tables(spark, folder, docs, labels):
+    spark.createDataFrame(docs, "doc_id long, text string, toxic string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, toxic int, text int").write.parquet(f"{folder}/labels.parquet")
+
+
+def test_query_on_held_out_rows(spark, tmp_path):
+    rows = corpus(3, 1000)
+    odd = [(None, None, "x"), (5000, "", "x"), (5001, None, "x"), (None, "vile rotten", "x")]
+    write_tables(spark, tmp_path, [(*r[:2], "x") for r in rows] + odd, [(n, t, 0) for n, _, t in rows[:600]])
+    found = queries.toxicity_grades(spark, str(tmp_path))
+    assert found.columns == ["doc_id", "toxic", "grade", "expected_severity"]
+    docs, labels = (queries.table(spark, str(tmp_path), n) for n in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    graded = toxicity.grade(docs, model).select("doc_id", "text", "grade", "expected_severity", "toxic_").collect()
+    assert len(graded) == len(rows) + len(odd)
+    for r in graded:
+        beyond = model.beyond(model.score(r.text or ""))
+        assert r.expected_severity == pytest.approx(sum(beyond)) and r.toxic_ == (r.expected_severity >= toxicity.REJECT_AT)
+        assert r.grade == np.argmax(-np.diff([1.0, *beyond, 0.0]))
+    said = {r.doc_id: r.toxic_ for r in graded}
+    held = rows[600:]
+    caught = [said[n] for n, _, t in held if t]
+    alarms = [said[n] for n, _, t in held if not t]
+    assert np.mean(caught) > 0.95 and np.mean(alarms) < 0.02
+
+
+def test_rows_that_share_an_id_do_not_change_the_fit(spark):
+    rows = corpus(4, 300)
+    labels = spark.createDataFrame([(n, t) for n, _, t in rows] + [(n, 0) for n, _, _ in rows[:9]], "doc_id long, toxic int")
+    docs = [r[:2] for r in rows]
+    again = docs + [(n, f"{t} zzz") for n, t in docs for _ in range(3)] + docs[:50]
+    models = [
+        toxicity.fit(spark.createDataFrame(d, "doc_id long, text string").repartition(3), labels) for d in (docs, again)
+    ]
+    assert models[0].weights and models[0] == models[1]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_held_out_labels_of_the_test_tables(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.fit(docs, labels.filter("doc_id % 2 = 0"))
+    told = labels.filter("doc_id % 2 = 1").selectExpr("doc_id", "toxic > 0 AS truth")
+    found = toxicity.grade(docs.drop("toxic"), model).join(told, "doc_id").groupBy("truth", "toxic").count().collect()
+    counts = {(r.truth, r.toxic): r["count"] for r in found}
+    assert counts[True, True] > 0.8 * (counts[True, True] + counts.get((True, False), 0))
+    assert counts[True, True] > 0.95 * (counts[True, True] + counts.get((False, True), 0))
