@@ -12,11 +12,11 @@ FARE = {
     "origin_airport": "LAX",
     "destination_airport": "JFK",
     "airline": "Delta",
-    "departure_datetime": "2026-07-01T10:00:00Z",
-    "arrival_datetime": "2026-07-01T18:00:00Z",
-    "cash_price": 320.0,
+    "departure_datetime": "2026-07-01T09:40:00Z",
+    "arrival_datetime": "2026-07-01T15:25:00Z",
+    "cash_price": 287.0,
     "currency": "USD",
-    "points_required": 32000,
+    "points_required": 28700,
     "cpp_cents_per_point": 1.0,
     "cabin_class": "economy",
     "program": "synthetic_generic",
