@@ -5,15 +5,20 @@ tests the hypothesis that it is random in that alphabet: chi-squared uniformity,
 above and below the middle, serial correlation, and the share of letters that are frequent
 in prose, combined by Fisher's method. No token is left out before the tests. Over
 all documents the tokens that are *not* random are then found with control of the
-false-discovery rate, weighted by length because short tokens cannot show much; what
-remains is reported. The control needs only counts in a fixed number of bins.
+false-discovery rate, weighted by length because short tokens cannot show much.
+
+What remains may still be an ordinary long word, which few characters cannot tell from a
+random one. So a second control bounds the share of false reports: its hypothesis is that a
+token is made as the corpus's own short words are, by the pairs of their characters counted
+over all documents, and its spread grows with the length. Only tokens that reject this too
+are reported. Both controls need only counts in a fixed number of bins.
 """
 
 from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -76,6 +81,32 @@ BANDS = 16
 LEAST_BIN = 40
 
 
+# Characters as the second control sees them: letters without case, one class of digits, and
+# everything else, which parts words.
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+CLASSES = len(LETTERS) + 1
+CODES = np.full(256, CLASSES, dtype=np.uint8)
+CODES[np.frombuffer(LETTERS.encode(), np.uint8)] = range(len(LETTERS))
+CODES[np.frombuffer(LETTERS.upper().encode(), np.uint8)] = range(len(LETTERS))
+CODES[np.frombuffer(b"0123456789", np.uint8)] = len(LETTERS)
+
+# Words that are counted beside those of the corpus, so that the smallest corpus has some.
+PRIOR = """
+The first line of a table names its columns, and each row below gives one record with a date such as 2024 or 1999.
+Please read the whole document before you change the settings, because some options depend on others; version 12 of
+the server keeps all files in the folder user data, while older releases store them under local share. When a service
+starts it looks for the address and port 8080 in its configuration, opens the connection, writes a message to the log
+and waits for requests from clients. Questions about the installation, the interface or the license can be sent to the
+public mailing list, where people usually answer within 24 hours.
+"""
+
+# Share of ordinary tokens among those reported, pairs of a stretch by which the spread of
+# ordinary text is measured, and bins of the distance from it in standard deviations.
+REPORT_RATE = 0.05
+STRETCH = 16
+FAR_BINS, FAR_WIDTH = 100, 0.25
+
+
 def _normal_tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
@@ -171,14 +202,13 @@ def candidates(text: str, start: int, end: int) -> list[tuple[int, int, str]]:
     return [(start, end, whole), *((start + m.start(), start + m.end(), m.group()) for m in parts)]
 
 
-def tested_tokens(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """``(start, end, bin, band)`` of tokens and of the parts between their slashes.
+def judged_tokens(text: str, known: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, str]]:
+    """``(start, end, what is tested)`` of tokens and of the parts between their slashes.
 
     Of a token that the sorted ``known`` spans overlap, what they leave is tested: stretches
     of ``LEAST_TOKEN`` characters by themselves, shorter ones together, however short that
     is. A short stretch before an assignment is judged with the name that it begins.
     """
-    found = []
     at = 0  # of the known spans, those before end before the token
     reached = 0  # end of what the passed spans cover
     for m in TOKEN.finditer(text):
@@ -201,47 +231,117 @@ def tested_tokens(text: str, known: list[tuple[int, int, int]]) -> list[tuple[in
         short = [(s, e) for s, e in free if e - s < LEAST_TOKEN and text[s:e].strip("+/=_-")]
         rest = "".join(text[s:e] for s, e in short if (s, e) not in names)
         tests += [(s, e, m.group() if (s, e) in names else rest) for s, e in short]
-        for s, e, judged in tests:
-            depth = -math.log10(max(combined(judged, alphabet_of(judged)), 1e-300))
-            band = min(BANDS - 1, int(math.log2(len(judged))))
-            found.append((s, e, min(BINS - 1, int(depth / BIN_WIDTH)), band))
-    return found
+        yield from tests
+
+
+def battery_bin(judged: str) -> tuple[int, int]:
+    """Bin of the battery's p-value, and band of length."""
+    depth = -math.log10(max(combined(judged, alphabet_of(judged)), 1e-300))
+    return min(BINS - 1, int(depth / BIN_WIDTH)), min(BANDS - 1, int(math.log2(len(judged))))
+
+
+def tested_tokens(text: str, known: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """``(start, end, bin, band)`` of what ``judged_tokens`` finds."""
+    return [(s, e, *battery_bin(judged)) for s, e, judged in judged_tokens(text, known)]
+
+
+def codes_of(text: str) -> np.ndarray:
+    return CODES[np.frombuffer(text.encode(), dtype=np.uint8)]
+
+
+def ordinary_codes(text: str) -> np.ndarray:
+    """The short words of ``text``, joined: what the tested tokens leave of it."""
+    codes = codes_of(TOKEN.sub(" ", text))
+    return codes[codes < CLASSES]
+
+
+def pairs_of(codes: np.ndarray) -> np.ndarray:
+    """Numbers of the neighbouring characters of a word."""
+    left, right = codes[:-1].astype(np.int64), codes[1:]
+    return (left * CLASSES + right)[(left < CLASSES) & (right < CLASSES)]
+
+
+def count_pairs(docs: DataFrame, text_column: str = "text") -> np.ndarray:
+    """How often each pair stands in the short words of all rows; the driver gets one count a pair."""
+    kinds = CLASSES * CLASSES
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(kinds, dtype=np.int64)
+        for batch in batches:
+            for part in slices([batch], "text"):
+                for text in filter(None, part.column("text").to_pylist()):
+                    counts += np.bincount(pairs_of(ordinary_codes(text)), minlength=kinds)
+        yield pa.record_batch([pa.array(np.arange(kinds)), pa.array(counts)], names=["pair", "n"])
+
+    texts = docs.select(F.col(f"`{text_column}`").cast("string").alias("text"))
+    counted = texts.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    counts = np.bincount(pairs_of(ordinary_codes(PRIOR)), minlength=kinds)
+    for row in counted.collect():
+        counts[row["pair"]] += row["n"]
+    return counts
+
+
+def likeness(counts: np.ndarray) -> np.ndarray:
+    """For each pair, hundredths of the log ratio of the second character behind the first in
+    ordinary words to the same in a random token of letters and digits."""
+    table = counts.reshape(CLASSES, CLASSES) + 0.5
+    chance = np.full(CLASSES, 1 / 36)
+    chance[-1] = 10 / 36
+    return np.rint(100 * np.log(table / table.sum(axis=1, keepdims=True) / chance)).astype(np.int64).ravel()
+
+
+def stretch_sums(text: str, like: np.ndarray) -> tuple[int, int, int]:
+    """Number, sum and sum of squares of the likeness of the stretches of ordinary text."""
+    scores = like[pairs_of(ordinary_codes(text))]
+    sums = scores[: len(scores) // STRETCH * STRETCH].reshape(-1, STRETCH).sum(axis=1)
+    return len(sums), int(sums.sum()), int((sums * sums).sum())
+
+
+def token_likeness(judged: str, like: np.ndarray) -> tuple[int, int]:
+    """Sum of the likeness of a token, and its number of pairs."""
+    pairs = pairs_of(codes_of(judged))
+    return int(like[pairs].sum()), len(pairs)
 
 
 SPANS = pa.list_(
     pa.struct([("start", pa.int32()), ("kind", pa.int32()), ("end", pa.int32())])
 )
-TESTED = pa.list_(
-    pa.struct(
-        [("start", pa.int32()), ("end", pa.int32()), ("bin", pa.int32()), ("band", pa.int32())]
-    )
-)
+TESTED_FIELDS = ("start", "end", "bin", "band", "likeness", "pairs")
+TESTED = pa.list_(pa.struct([(f, pa.int64() if f == "likeness" else pa.int32()) for f in TESTED_FIELDS]))
 
 
-def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """``doc_id``, the ``base`` spans and the ``tested`` tokens of every row."""
+def scan(
+    docs: DataFrame, like: np.ndarray, id_column: str = "doc_id", text_column: str = "text"
+) -> DataFrame:
+    """``doc_id``, the ``base`` spans, the ``tested`` tokens and the ``ordinary`` stretches of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            base = [base_spans(t) for t in texts]
-            tested = [tested_tokens(t, b) for t, b in zip(texts, base, strict=True)]
+            base, tested, ordinary = [], [], []
+            for text in batch.column(1).to_pylist():
+                text = text or ""
+                known = base_spans(text)
+                base.append([dict(zip(("start", "kind", "end"), s, strict=True)) for s in known])
+                tested.append([
+                    dict(zip(TESTED_FIELDS, (s, e, *battery_bin(j), *token_likeness(j, like)), strict=True))
+                    for s, e, j in judged_tokens(text, known)
+                ])
+                ordinary.append(stretch_sums(text, like))
             yield pa.record_batch(
                 [
                     batch.column(0),
-                    pa.array([[dict(zip(("start", "kind", "end"), s)) for s in b] for b in base], SPANS),
-                    pa.array(
-                        [[dict(zip(("start", "end", "bin", "band"), s)) for s in b] for b in tested],
-                        TESTED,
-                    ),
+                    pa.array(base, SPANS),
+                    pa.array(tested, TESTED),
+                    *(pa.array([o[k] for o in ordinary], pa.int64()) for k in range(3)),
                 ],
-                names=["doc_id", "base", "tested"],
+                names=["doc_id", "base", "tested", "stretches", "total", "squares"],
             )
 
     return select_text(docs, id_column, text_column).mapInArrow(
         run,
-        "doc_id long, base array<struct<start: int, kind: int, end: int>>, "
-        "tested array<struct<start: int, end: int, bin: int, band: int>>",
+        "doc_id long, base array<struct<start: int, kind: int, end: int>>, tested array<struct<"
+        "start: int, end: int, bin: int, band: int, likeness: long, pairs: int>>, "
+        "stretches long, total long, squares long",
     )
 
 
@@ -281,18 +381,67 @@ def count_bins(found: DataFrame) -> dict[tuple[int, int], int]:
     return {(r["band"], r["bin"]): r["count"] for r in rows}
 
 
+def ordinary_pair(found: DataFrame, like: np.ndarray) -> tuple[float, float]:
+    """Mean and variance of the likeness of a pair of ordinary text, over all rows."""
+    exact = [F.sum(F.col(c).cast("decimal(38,0)")) for c in ("stretches", "total", "squares")]
+    own = stretch_sums(PRIOR, like)
+    n, total, squares = (int(a or 0) + b for a, b in zip(found.agg(*exact).first(), own, strict=True))
+    mean = total / n
+    return mean / STRETCH, max((squares / n - mean * mean) / STRETCH, 1.0)
+
+
+def report_bin(counts: dict[int, int], rate: float = REPORT_RATE) -> int:
+    """The first bin of distance whose tokens are no ordinary words, by the step-up rule.
+
+    ``counts`` has the number of tokens by bin; a bin's largest p-value stands for all of it.
+    """
+    total, seen, first = sum(counts.values()), 0, FAR_BINS
+    for b in sorted(counts, reverse=True):
+        seen += counts[b]
+        if _normal_tail(b * FAR_WIDTH) <= rate * seen / total:
+            first = b
+    return first
+
+
+def far_bin(likeness: Column, pairs: Column, mean: float, variance: float) -> Column:
+    """How far below ordinary text of as many pairs a token is; without pairs, not at all."""
+    distance = (pairs * mean - likeness) / F.sqrt(F.greatest(pairs, F.lit(1)) * variance)
+    return F.least(F.greatest(F.floor(distance / FAR_WIDTH), F.lit(0)), F.lit(FAR_BINS - 1)).cast("int")
+
+
+def controls(found: DataFrame, like: np.ndarray) -> tuple[Callable[[Column], Column], tuple]:
+    """Whether to report a token of ``tested``, as a function of columns and as plain numbers."""
+    bins = discard_bins(count_bins(found))
+    mean, variance = ordinary_pair(found, like)
+    first = F.array(*map(F.lit, bins))
+
+    def kept(t: Column) -> Column:
+        return t["bin"] < F.get(first, t["band"])
+
+    tokens = found.select(F.explode(F.filter("tested", kept)).alias("t"))
+    far = far_bin(F.col("t.likeness"), F.col("t.pairs"), mean, variance)
+    level = report_bin({r["far"]: r["count"] for r in tokens.groupBy(far.alias("far")).count().collect()})
+
+    def reported(t: Column) -> Column:
+        return kept(t) & (far_bin(t["likeness"], t["pairs"], mean, variance) >= level)
+
+    return reported, (bins, level, mean, variance)
+
+
 def find_secrets(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """``doc_id`` and ``spans`` (start, kind, end in code points) of every row.
 
     Kinds are numbers into ``KINDS``. A null or empty text has no spans; repeated rows
     and null ids are scanned like others, and each token counts once for every row
     that holds it. Spans may overlap: a value and the hex run in it, or a token and a part
-    between its slashes that is random by itself. The texts are read once; the driver gets at most BANDS * BINS counts.
+    between its slashes that is random by itself. The texts are read twice, for the pairs of
+    ordinary words and for the tests; the driver gets numbers of pairs and of bins only.
     """
-    found = stored(scan(docs, id_column, text_column), "secrets")
-    first = F.array(*map(F.lit, discard_bins(count_bins(found))))
+    like = likeness(count_pairs(docs, text_column))
+    found = stored(scan(docs, like, id_column, text_column), "secrets")
+    reported, _ = controls(found, like)
     random = F.transform(
-        F.filter("tested", lambda t: t["bin"] < F.get(first, t["band"])),
+        F.filter("tested", reported),
         lambda t: F.struct(t["start"].alias("start"), F.lit(3).alias("kind"), t["end"].alias("end")),
     )
     return found.select("doc_id", F.array_sort(F.concat("base", random)).alias("spans"))
@@ -323,11 +472,20 @@ def redact(text: str, spans: list[tuple[int, int]], mark: str = "[SECRET]") -> s
 def redact_secrets(docs: DataFrame, text_column: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with every secret in the text replaced by ``mark``; nothing else changes.
 
-    The texts are read twice, for the control over all rows and for the replacement,
-    and never shuffled. A null text stays null.
+    The texts are read three times, for the pairs of ordinary words, for the controls over all
+    rows and for the replacement, and never shuffled. A null text stays null.
     """
+    like = likeness(count_pairs(docs, text_column))
     numbered = docs.select(F.lit(0).alias("doc_id"), F.col(f"`{text_column}`").alias("text"))
-    first = discard_bins(count_bins(scan(numbered)))
+    _, (bins, level, mean, variance) = controls(stored(scan(numbered, like).drop("base"), "tested"), like)
+
+    def is_reported(judged: str) -> bool:
+        b, band = battery_bin(judged)
+        if b >= bins[band]:
+            return False
+        total, pairs = token_likeness(judged, like)
+        distance = (pairs * mean - total) / math.sqrt(max(pairs, 1) * variance)
+        return min(max(math.floor(distance / FAR_WIDTH), 0), FAR_BINS - 1) >= level
 
     @F.arrow_udf("string")
     def redacted(texts: pa.Array) -> pa.Array:
@@ -337,7 +495,7 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", mark: str = "[SEC
             if text is not None:
                 base = base_spans(text)
                 spans = [(s, e) for s, _, e in base]
-                spans += [(s, e) for s, e, b, band in tested_tokens(text, base) if b < first[band]]
+                spans += [(s, e) for s, e, judged in judged_tokens(text, base) if is_reported(judged)]
                 text = redact(text, spans, mark) if spans else text
             out.append(text)
         return pa.array(out, pa.string())

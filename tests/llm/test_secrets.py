@@ -176,3 +176,33 @@ def test_ordinary_long_words_and_names_are_not_reported():
         "-" * 40, "_" * 25, "/" * 30, "+-----+-----+-----+-----+", "00000000000000000000000",
     ):
         assert not [t for t in secrets.tested_tokens(text, []) if t[2] < 40], text
+
+
+def test_planted_keys_are_found_and_ordinary_long_words_are_left_alone(spark, documents):
+    """Keys of three alphabets beside long words, each joined from two words of the same language."""
+    rng = random.Random(10)
+    parts = ["".join(rng.choices(["ver", "sich", "en", "kei", "lich", "zu", "ung", "ent", "ta", "ri", "no"], k=4)) for _ in range(400)]
+    lower = "abcdefghijklmnopqrstuvwxyz"
+    alphabets = [lower + lower.upper() + "0123456789", lower + "0123456789", lower.upper() + "234567"]
+    rows, keys = [], 0
+    for n in range(600):
+        words = rng.choices(parts, k=60)
+        if n % 3 == 0:
+            words.insert(30, "".join(rng.choices(alphabets[n // 3 % 3], k=rng.choice((20, 24, 32, 40)))))
+            keys += 1
+        else:
+            words.insert(30, "_".join(rng.choices(parts, k=3)).upper() if n % 3 == 1 else "".join(rng.choices(parts, k=3)))
+        rows.append((n, " ".join(words)))
+    found = {r.doc_id: [s for s in r.spans if s.kind == 3] for r in secrets.find_secrets(documents(rows)).collect()}
+    hits = sum(bool(found[n]) for n in found if n % 3 == 0)
+    false = sum(bool(found[n]) for n in found if n % 3)
+    assert hits >= 0.95 * keys and false <= 0.05 * (hits + false), (hits, keys, false)
+    marked = {r.doc_id: "[SECRET]" in r.text for r in secrets.redact_secrets(documents(rows)).collect()}
+    assert marked == {n: bool(s) for n, s in found.items()}
+
+
+def test_report_control_by_hand():
+    assert secrets.report_bin({}) == secrets.FAR_BINS
+    assert secrets.report_bin({0: 100, 4: 1}) == secrets.FAR_BINS  # one standard deviation shows nothing
+    assert secrets.report_bin({0: 100, 24: 1}) == 24  # six do
+    assert secrets.report_bin({0: 10, 7: 90}) == 7  # p = 0.040 <= 0.05 * 90 / 100
