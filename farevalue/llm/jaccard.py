@@ -34,6 +34,7 @@ from farevalue.llm.common import (
     select_text,
     slices,
     stored,
+    take_over,
     with_sieve,
     without_ids,
     words_of,
@@ -97,6 +98,7 @@ def signatures(rows: DataFrame, n: int, percent: int) -> DataFrame:
     kinds = (pa.int64(), pa.binary(), longs, longs, pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("jaccard")
         for batch in slices(batches, "text"):
             out: list[list] = [[], [], [], [], []]
             for text in batch.column("text").to_pylist():
@@ -183,6 +185,7 @@ def group_members(lists: DataFrame, percent: int) -> DataFrame:
     """Links ``a, b`` that join all members of a list which may link, directly or not."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("jaccard")
         # A worker meets the same small groups in many lists.
         told: set[tuple[int, int]] = set()
         for group in groups(batches, 3):
@@ -292,6 +295,7 @@ def verified_links(placed: DataFrame, n: int, percent: int) -> DataFrame:
     """Links ``a, b`` of the classes in each group of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("jaccard")
         for group in groups(batches, 3):
             ids = group.column("doc_id").to_pylist()
             sets = [shingle_set(t.as_py(), n).tolist() for t in group.column("text")]

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import slices, stored
+from farevalue.llm.common import slices, stored, take_over
 from farevalue.llm.wordspans import Words, roll_hashes, span_keys
 
 LENGTH = 20
@@ -126,6 +126,7 @@ def marks(rows: DataFrame, length: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("repeats")
         for batch in slices(batches, "text"):
             runs = Runs(Words(batch.column("text")), length)
             docs, given = ids_of(batch)
@@ -270,6 +271,7 @@ def candidate_runs(marked: DataFrame, length: int) -> DataFrame:
     """``anchor, doc_id, at, words`` of runs in chunks that are new and with common anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("repeats")
         for batch in slices(batches, "text"):
             words = Words(batch.column("text"))
             runs = Runs(words, length)
@@ -366,6 +368,7 @@ def shard_spans(runs: DataFrame, length: int) -> DataFrame:
     names = ["doc_id", "start", "end", "one", "two"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("repeats")
         places = FirstPlaces()
         shard: list[tuple[int, int, str]] = []  # runs of the last anchor so far
         last = None
@@ -493,6 +496,7 @@ def remove_repeats(
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("repeats")
         for batch in slices(batches, "text"):
             words = Words(batch.column("text"))
             runs = Runs(words, length)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import select_text, slices, stored
+from farevalue.llm.common import select_text, slices, stored, take_over
 
 # Fixed patterns, in the order in which equal starts are listed.
 ASSIGN = re.compile(
@@ -266,6 +266,7 @@ def count_pairs(docs: DataFrame, text_column: str = "text") -> np.ndarray:
     kinds = CLASSES * CLASSES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("secrets")
         counts = np.zeros(kinds, dtype=np.int64)
         for batch in batches:
             for part in slices([batch], "text"):
@@ -316,6 +317,7 @@ def scan(
     """``doc_id``, the ``base`` spans, the ``tested`` tokens and the ``ordinary`` stretches of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        take_over("secrets")
         for batch in slices(batches, "text"):
             base, tested, ordinary = [], [], []
             for text in batch.column(1).to_pylist():
@@ -489,6 +491,7 @@ def redact_secrets(docs: DataFrame, text_column: str = "text", mark: str = "[SEC
 
     @F.arrow_udf("string")
     def redacted(texts: pa.Array) -> pa.Array:
+        take_over("secrets")
         out = []
         for value in texts:  # one text at a time becomes a Python string
             text = value.as_py()

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
-from farevalue.llm.common import MIX, MULTIPLIER
+from farevalue.llm.common import MEMORIES, MIX, MULTIPLIER
 
 SPACES = [0x20, *range(0x09, 0x0E)]
 IS_LETTER = np.ones(256, dtype=bool)
@@ -51,6 +51,14 @@ FORTH = [Powers(f) for f in FACTORS]
 BACK = [Powers(pow(f, -1, 1 << 64)) for f in FACTORS]
 
 
+def forget_powers() -> None:
+    for powers in (*FORTH, *BACK):
+        powers.table = np.ones(1, dtype=np.uint64)
+
+
+MEMORIES.append(forget_powers)
+
+
 def mixed(values: np.ndarray, factor: np.uint64 = MIX) -> np.ndarray:
     values = (values ^ (values >> np.uint64(32))) * factor
     return values ^ (values >> np.uint64(29))
