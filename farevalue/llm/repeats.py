@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farevalue.llm.common import slices, stored, take_over
+from farevalue.llm.common import WORD_RE, slices, stored, take_over  # noqa: F401 (WORD_RE is used from here)
 from farevalue.llm.wordspans import Words, roll_hashes, span_keys
 
 LENGTH = 20
