@@ -239,13 +239,40 @@ def make_plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[in
     return plan
 
 
+STEP_SCHEMA = (
+    "step_length long, step_block long, step_first long, step_last long, "
+    "step_sequence long, step_each long, step_offset long"
+)
+
+
+def stepped(plan: list[tuple[int, ...]]) -> tuple[list[tuple[int, ...]], list[tuple[int, ...]]]:
+    """The plan as tables to join with: ``(length, width of a block of ranks)``, and a step for
+    each block that it reaches into.
+
+    A length has as many blocks as steps, so there are at most twice as many rows as in the
+    plan, and a piece meets two of them on average, one of which has its rank.
+    """
+    steps: dict[int, int] = defaultdict(int)
+    count: dict[int, int] = defaultdict(int)
+    for length, _, end, *_ in plan:
+        steps[length] += 1
+        count[length] = max(count[length], end)
+    widths = {n: -(-count[n] // steps[n]) for n in steps}
+    rows = [
+        (length, block, first, end - 1, sequence, each, offset)
+        for length, first, end, sequence, each, offset in plan
+        for block in range(first // widths[length], (end - 1) // widths[length] + 1)
+    ]
+    return sorted(widths.items()), rows
+
+
 def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Add ``sequence_id`` and ``offset`` to a table with ``doc_id, piece, length``.
 
     ``pieces`` is read three times: give a stored table. The driver gets one count per
     length. Ranks are taken in groups of bounded expected size, so that a length which
     many pieces share is not one task's work, and the plan is broadcast: its rows are
-    bounded by the capacity, not by the number of pieces.
+    bounded by the capacity, not by the number of pieces. Token ids never meet Python again.
     """
     counts = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}
     plan = make_plan(counts, capacity)
@@ -265,32 +292,23 @@ def assign(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         .withColumn("rank", F.col("base") + F.col("place"))
         .drop("part", "base", "place")
     )
-    table = np.array(plan, dtype=np.int64).reshape(-1, 6)
-    table = table[np.lexsort((table[:, 1], table[:, 0]))]
-    shared = pieces.sparkSession.sparkContext.broadcast(table)
-    columns = [c for c in ranked.columns if c != "rank"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ranked.select(columns).schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = shared.value
-        # One sorted key for length and first rank: lengths are few, ranks below 2 ** 48.
-        keys = rows[:, 0] * (1 << 48) + rows[:, 1]
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            length = batch.column("length").to_numpy()
-            rank = batch.column("rank").to_numpy()
-            row = rows[np.searchsorted(keys, length * (1 << 48) + rank, side="right") - 1]
-            behind = rank - row[:, 1]
-            sequence = row[:, 3] + behind // row[:, 4]
-            offset = row[:, 5] + behind % row[:, 4] * length
-            yield pa.record_batch(
-                [*(batch.column(c) for c in columns), pa.array(sequence), pa.array(offset)],
-                names=[*columns, "sequence_id", "offset"],
-            )
-
-    return ranked.select(*columns, "rank").mapInArrow(
-        run, f"{fields}, sequence_id long, offset long"
+    spark = pieces.sparkSession
+    widths, steps = stepped(plan)
+    step = F.broadcast(spark.createDataFrame(steps, STEP_SCHEMA))
+    width = F.broadcast(spark.createDataFrame(widths, "length long, step_width long"))
+    same = (
+        (F.col("length") == F.col("step_length"))
+        & (F.expr("rank div step_width") == F.col("step_block"))
+        & F.col("rank").between(F.col("step_first"), F.col("step_last"))
+    )
+    return (
+        ranked.join(width, "length")
+        .join(step, same)
+        .select(
+            *pieces.columns,
+            F.expr("step_sequence + (rank - step_first) div step_each").alias("sequence_id"),
+            F.expr("step_offset + (rank - step_first) % step_each * length").alias("offset"),
+        )
     )
 
 
