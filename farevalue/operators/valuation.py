@@ -25,6 +25,9 @@ FLIGHT_KEYS = (
 PAIRS = 1_000_000
 PIECE = 100_000
 
+# Pieces whose pairs one task may make of one id.
+FAR = 10
+
 # Ids that a sketch of frequent ids tracks, the groups in which the sketches of tasks are merged
 # first, and the share of a tracked place below which an id may be missed (the sketch's a priori
 # error, which is 3.5 of 4/3 places, counted twice: once for the count, once for the cut).
@@ -33,7 +36,9 @@ MERGE_GROUPS = 1000
 MISSED = 5.25
 
 
-def value_fares(cash: DataFrame, awards: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def value_fares(
+    cash: DataFrame, awards: DataFrame, hot: DataFrame | None = None, warm: DataFrame | None = None
+) -> DataFrame:
     """Inner join on the six flight keys, with cents per point.
 
     A null key matches nothing and is filtered out before the shuffle. Copies of
@@ -44,25 +49,29 @@ def value_fares(cash: DataFrame, awards: DataFrame, hot: DataFrame | None = None
     AQE judges by input size, but copies on both sides grow the output by their
     product. The flights of ``hot``, a stored table from ``find_hot``, are therefore
     merged where rows are equal, cut into pieces before the join, and repeated
-    afterwards. The table changes the plan, never the result.
+    afterwards. ``warm`` has further flights of ``find_hot`` that are no ``far``: they are cut
+    into pieces too, but what comes of one is repeated by the task that joined it and not
+    shuffled again. The tables change the plan, never the result.
     """
     fares = cash.select(*FLIGHT_KEYS, "cash_price", "currency", "ingestion_timestamp")
     prices = awards.select(*FLIGHT_KEYS, "points_required", "cabin_class", "program", "award_type")
-    if hot is None:
-        joined = fares.join(prices, list(FLIGHT_KEYS))
-    else:
-        sides = [side.join(hot, "flight_id", "left_anti") for side in (fares, prices)]
-        usual = sides[0].join(sides[1], list(FLIGHT_KEYS))
-        joined = usual.unionByName(_join_in_pieces(fares, prices, hot))
+    apart = [(ids, spread) for ids, spread in ((hot, True), (warm, False)) if ids is not None]
+    sides = [fares, prices]
+    for ids, _ in apart:
+        sides = [side.join(ids, "flight_id", "left_anti") for side in sides]
+    joined = sides[0].join(sides[1], list(FLIGHT_KEYS))
+    for ids, spread in apart:
+        joined = joined.unionByName(_join_in_pieces(fares, prices, ids.drop("far"), spread))
     cpp = cents_per_point(F.col("cash_price"), F.col("points_required"))
     return joined.withColumn("cpp_cents_per_point", cpp).select(*GOLD.columns)
 
 
 def find_hot(cash: DataFrame, awards: DataFrame, pairs: int = PAIRS) -> DataFrame:
-    """``flight_id, pieces, cut_fares``: ids whose copies make more than ``pairs`` pairs.
+    """``flight_id, pieces, cut_fares, far``: ids whose copies make more than ``pairs`` pairs.
 
     Reads one column of each side, counted in each task before the shuffle. The side
-    with more copies is the one to cut. ``pieces`` grows with the product.
+    with more copies is the one to cut. ``pieces`` grows with the product. ``far`` are ids
+    with more pairs than one task should make (``FAR``).
     """
     fares, prices = (
         side.where(F.col("flight_id").isNotNull())
@@ -78,6 +87,7 @@ def find_hot(cash: DataFrame, awards: DataFrame, pairs: int = PAIRS) -> DataFram
             "flight_id",
             F.ceil(product / pairs).cast("bigint").alias("pieces"),
             (F.col("fares") >= F.col("prices")).alias("cut_fares"),
+            (product > FAR * PIECE).alias("far"),
         )
     )
 
@@ -133,13 +143,13 @@ def count_joinable(df: DataFrame) -> DataFrame:
     return df.groupBy(outcome).agg(F.count(F.lit(1)).alias("records"))
 
 
-def _join_in_pieces(fares: DataFrame, prices: DataFrame, hot: DataFrame) -> DataFrame:
+def _join_in_pieces(fares: DataFrame, prices: DataFrame, hot: DataFrame, spread: bool) -> DataFrame:
     """The inner join for the ids of ``hot``.
 
     Only their rows are merged where equal, mostly before the shuffle, and counted. One side's
     distinct rows are dealt to the pieces of their id by their content, and the other side's
-    go to every piece. Result rows that stand for many are cut and spread again, and
-    every task repeats its own.
+    go to every piece. Result rows that stand for many are cut and spread again with
+    ``spread``, and every task repeats its own.
     """
     whole = [
         _merged(fares.join(hot, "flight_id"), "__fares"),
@@ -151,13 +161,17 @@ def _join_in_pieces(fares: DataFrame, prices: DataFrame, hot: DataFrame) -> Data
         every = F.sequence(F.lit(0).cast("bigint"), F.col("pieces") - 1)
         piece = F.explode(F.when(is_cut, F.array(own)).otherwise(every))
         dealt.append(side.withColumn("__part", piece).drop("pieces", "cut_fares"))
+    if spread:
+        # Also tables that are stored by flight: there all pieces of an id would meet in one task.
+        dealt = [side.repartition("__part", *FLIGHT_KEYS) for side in dealt]
     joined = dealt[0].join(dealt[1], [*FLIGHT_KEYS, "__part"]).drop("__part")
     cut = joined.withColumn("__copies", F.col("__fares") * F.col("__prices"))
-    cut = _cut(_cut(cut, 1000 * PIECE, "__block"), PIECE, "__piece")
-    # An explicit number: AQE would merge the pieces again, which are small until repeated.
-    tasks = int(fares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    spread = cut.repartition(tasks, *cut.columns)
-    repeated = spread.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
+    if spread:
+        cut = _cut(_cut(cut, 1000 * PIECE, "__block"), PIECE, "__piece")
+        # An explicit number: AQE would merge the pieces again, which are small until repeated.
+        tasks = int(fares.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        cut = cut.repartition(tasks, *cut.columns)
+    repeated = cut.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies"))))
     return repeated.drop("__fares", "__prices", "__copies", "__block", "__piece", "__copy")
 
 

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, replace
 from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, TimestampType
 
@@ -18,13 +18,27 @@ from farevalue.operators import publish, quality, search
 from farevalue.operators.enrich import add_flight_times
 from farevalue.operators.flatten import flatten_flown_fares, flatten_fares
 from farevalue.operators.pricing import LOAD_TIME_CANDIDATES, RateCard, look_up, price_awards
-from farevalue.operators.valuation import count_joinable, find_hot, value_fares
+from farevalue.operators.valuation import (
+    MISSED,
+    TRACKED,
+    count_joinable,
+    find_hot,
+    frequent_ids,
+    value_fares,
+)
 from farevalue.plans import oracle as sql
 from farevalue.plans.medallion import STEPS, Layout, read_layer, run_job
-from farevalue.plans.star_schema import cash_fares, envelopes, single_fare_envelopes
-from farevalue.session import scratch_path
-from farevalue.sources.readers import read_serving, read_table
-from farevalue.sources.writers import overwrite, overwrite_partitions
+from farevalue.plans.star_schema import (
+    cash_fares,
+    envelopes,
+    line_flight_id,
+    single_fare_envelopes,
+    table,
+)
+from farevalue.session import join_by_bucket, scratch_path
+from farevalue.sources.files import contents
+from farevalue.sources.readers import read_buckets, read_serving, read_table
+from farevalue.sources.writers import overwrite, overwrite_buckets, overwrite_partitions
 
 RUN = quality.Run("run-1", datetime(2026, 7, 1, tzinfo=timezone.utc))
 LOADED_AT = "2026-07-01T00:00:00+00:00"
@@ -59,42 +73,117 @@ def _as_text(df: DataFrame) -> DataFrame:
     return df.withColumns(plain)
 
 
-_SHARED: dict[tuple[str, str, str], str] = {}
+_SHARED: dict[tuple[str, ...], object] = {}
 
+# Bytes of order lines per bucket of a table that is stored by flight: one task sorts both sides of a
+# bucket at once.
+BUCKET_BYTES = 8 * 1024**2
 
-def _shared(
-    spark: SparkSession, sf_dir: str, label: str, make: Callable[[], DataFrame]
-) -> DataFrame:
-    """A table that several queries start from, written once per session and folder."""
+
+def _once(spark: SparkSession, sf_dir: str, label: str, make: Callable[[], object]):
+    """What several queries start from, made once per session and folder."""
     key = (spark.sparkContext.applicationId, sf_dir, label)
     if key not in _SHARED:
-        path = scratch_path(spark, label)
-        overwrite(make(), path)
-        _SHARED[key] = path
-    return read_table(spark, _SHARED[key])
+        _SHARED[key] = make()
+    return _SHARED[key]
 
 
-def cash_and_awards(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Stored cash fares and award prices, which the job has before it makes gold."""
-    cash = _shared(spark, sf_dir, "cash", lambda: cash_fares(spark, sf_dir))
-    return cash, _shared(spark, sf_dir, "awards", lambda: price_awards(cash))
+def _bucketed(df: DataFrame, label: str, buckets: int) -> DataFrame:
+    """``df`` as a table stored by flight; without buckets, as a plain one."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, label)
+    if not buckets:
+        overwrite(df, path)
+        return read_table(spark, path)
+    overwrite_buckets(df, path, "flight_id", buckets)
+    return read_buckets(spark, path, df.schema, "flight_id", buckets)
+
+
+def _dealt_fares(
+    spark: SparkSession,
+    sf_dir: str,
+    by: Callable[[Column], Column] = lambda flight_id: flight_id,
+    change: Callable[[DataFrame], DataFrame] = lambda cash: cash,
+) -> list[tuple[DataFrame, int]]:
+    """Stored cash fares as parts that share no flight, with the buckets of each.
+
+    Rows are dealt to buckets by flight, which is the one shuffle of all that joins or groups by it.
+    Flights that alone would outgrow a bucket make a second part without buckets, where AQE can
+    cut them; a sketch of the order lines finds them. ``by`` makes the flight of a fare from the
+    one of its order line, and ``change`` makes the fare.
+    """
+    join_by_bucket(spark)
+    lines = table(spark, sf_dir, "lineitem")
+    size = contents(spark, f"{sf_dir}/lineitem.parquet").size
+    buckets = max(spark.sparkContext.defaultParallelism, size // BUCKET_BYTES)
+    rows = lines.count()
+    least = max(rows // buckets, int(rows * MISSED) // TRACKED, 1)
+    flight = by(line_flight_id()).alias("flight_id")
+    heavy = _stored(frequent_ids(lines.select(flight), least).select(F.col("flight_id").alias("heavy")), "heavy")
+    if heavy.isEmpty():
+        chosen = [(lines, buckets)]
+    else:
+        is_heavy = by(line_flight_id()) == F.col("heavy")
+        usual = lines.join(F.broadcast(heavy), is_heavy, "left_anti")
+        chosen = [(usual, buckets), (lines.join(F.broadcast(heavy), is_heavy, "left_semi"), 0)]
+    return [
+        (_bucketed(change(cash_fares(spark, sf_dir, some, dealt, by)), "cash", dealt), dealt)
+        for some, dealt in chosen
+    ]
 
 
-def gold_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+def cash_parts(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, int]]:
+    """Stored cash fares, which the job has before it makes gold; see ``_dealt_fares``."""
+    return _once(spark, sf_dir, "cash", lambda: _dealt_fares(spark, sf_dir))
+
+
+def fare_parts(spark: SparkSession, sf_dir: str) -> list[tuple[DataFrame, DataFrame, int]]:
+    """Stored cash fares with their stored award prices, and the buckets of both."""
+
+    def price() -> list[tuple[DataFrame, DataFrame, int]]:
+        return [
+            (cash, _bucketed(price_awards(cash), "awards", buckets), buckets)
+            for cash, buckets in cash_parts(spark, sf_dir)
+        ]
+
+    join_by_bucket(spark)
+    return _once(spark, sf_dir, "awards", price)
+
+
+def gold_parts(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Gold from stored cash and awards, stored itself: what the job does."""
-    cash, awards = cash_and_awards(spark, sf_dir)
-    return _shared(spark, sf_dir, "gold", lambda: value_fares(cash, awards))
+
+    def value() -> list[DataFrame]:
+        return [
+            _bucketed(value_fares(cash, awards), "gold", buckets)
+            for cash, awards, buckets in fare_parts(spark, sf_dir)
+        ]
+
+    join_by_bucket(spark)
+    return _once(spark, sf_dir, "gold", value)
+
+
+def _together(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
+def valued_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold, not stored."""
+    return _together(value_fares(cash, awards) for cash, awards, _ in fare_parts(spark, sf_dir))
+
+
+def gold_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _together(gold_parts(spark, sf_dir))
 
 
 def published(spark: SparkSession, sf_dir: str) -> str:
     """The folder of a serving table with its documents and facets, published once a session."""
-    key = (spark.sparkContext.applicationId, sf_dir, "serving")
-    if key not in _SHARED:
-        gold = gold_fares(spark, sf_dir)
+
+    def publish_once() -> str:
         path = scratch_path(spark, "serving")
-        publish.publish_parts(spark, [gold], path)
-        _SHARED[key] = path
-    return _SHARED[key]
+        publish.publish_parts(spark, gold_parts(spark, sf_dir), path)
+        return path
+
+    return _once(spark, sf_dir, "serving", publish_once)
 
 
 def _stored(df: DataFrame, label: str) -> DataFrame:
@@ -105,7 +194,8 @@ def _stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def served_fares(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return publish.latest_per_key(publish.serving_rows(gold_fares(spark, sf_dir)))
+    parts = gold_parts(spark, sf_dir)
+    return _together(publish.latest_per_key(publish.serving_rows(part)) for part in parts)
 
 
 def nested_envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -234,7 +324,7 @@ def award_custom_points(spark, sf_dir):
 
 @registered(f"{sql.GOLD_TABLES} SELECT * FROM gold")
 def gold_cpp(spark, sf_dir):
-    return value_fares(*cash_and_awards(spark, sf_dir))
+    return valued_fares(spark, sf_dir)
 
 
 @registered(
@@ -254,17 +344,24 @@ SELECT * FROM gold"""
 )
 def gold_two_programs(spark, sf_dir):
     """Every fare meets two award rows, so every key multiplies."""
-    cash = cash_fares(spark, sf_dir)
-    awards = price_awards(cash).unionByName(price_awards(cash, cabin="economy", program="award"))
-    return value_fares(cash, awards)
+    join_by_bucket(spark)
+    valued = []
+    for cash, _ in cash_parts(spark, sf_dir):
+        awards = price_awards(cash).unionByName(price_awards(cash, cabin="economy", program="award"))
+        valued.append(value_fares(cash, awards))
+    return _together(valued)
+
+
+def _repeated_id(flight_id: Column) -> Column:
+    order = F.substring_index(F.substr(flight_id, F.lit(2)), "-", 1).cast("bigint")
+    return F.concat(F.lit("R"), F.floor(order / 16).cast("string"))
 
 
 def _repeated(cash: DataFrame) -> DataFrame:
     """The lines of 16 orders as copies of one flight."""
-    order = F.expr("cast(substring_index(substring(flight_id, 2), '-', 1) AS bigint)")
     return cash.withColumns(
         {
-            "flight_id": F.concat(F.lit("R"), F.floor(order / 16).cast("string")),
+            "flight_id": _repeated_id(F.col("flight_id")),
             "origin_airport": F.lit("LAX"),
             "destination_airport": F.lit("JFK"),
             "departure_datetime": F.lit("2026-07-01T10:00:00Z"),
@@ -285,10 +382,14 @@ SELECT flight_id, airline, cabin_class, cast(count(*) AS bigint) AS fares,
 )
 def gold_repeated_flights(spark, sf_dir):
     """Many copies of each flight on both sides; the busier ones are joined in pieces."""
-    cash = _stored(_repeated(cash_fares(spark, sf_dir)), "cash")
-    awards = _stored(price_awards(cash), "awards")
-    hot = _stored(find_hot(cash, awards, pairs=1000), "hot")
-    return value_fares(cash, awards, hot).groupBy("flight_id", "airline", "cabin_class").agg(
+    valued = []
+    for cash, buckets in _dealt_fares(spark, sf_dir, _repeated_id, _repeated):
+        awards = _bucketed(price_awards(cash), "awards", buckets)
+        hot = _bucketed(find_hot(cash, awards, pairs=1000), "hot", buckets)
+        # Ids that one task can repeat are not shuffled again after the join.
+        far = hot.where("far")
+        valued.append(value_fares(cash, awards, None if far.isEmpty() else far, hot.where("NOT far")))
+    return _together(valued).groupBy("flight_id", "airline", "cabin_class").agg(
         F.count(F.lit(1)).alias("fares"),
         F.min("cpp_cents_per_point").alias("lowest_cpp"),
         F.max("cpp_cents_per_point").alias("highest_cpp"),
@@ -466,9 +567,8 @@ SELECT 'run-1' AS run_id, *, '2026-07-01T00:00:00+00:00' AS detected_at FROM fou
 )
 def q_validate_table(spark, sf_dir):
     """All columns of all flags of a stored table, as written; the rate is read from its text."""
-    cash, awards = cash_and_awards(spark, sf_dir)
     source, results = scratch_path(spark, "gold"), scratch_path(spark, "quality")
-    overwrite(value_fares(cash, awards), source)
+    overwrite(valued_fares(spark, sf_dir), source)
     quality.validate_table(spark, source, results, run_id=RUN.run_id, at=RUN.at)
     flags = quality.read_flags(spark, results)
     is_rate = F.col("check_name") == quality.NULL_RATE_EXCEEDED[0]
@@ -490,9 +590,8 @@ SELECT 'run-1' AS run_id, *, CASE WHEN metric_value > threshold THEN 'failed' EL
 )
 def q_validate_table_metrics(spark, sf_dir):
     """All columns of the metrics that a validation of a stored table writes."""
-    cash, awards = cash_and_awards(spark, sf_dir)
     source, results = scratch_path(spark, "gold"), scratch_path(spark, "quality")
-    overwrite(value_fares(cash, awards), source)
+    overwrite(valued_fares(spark, sf_dir), source)
     quality.validate_table(spark, source, results, run_id=RUN.run_id, at=RUN.at)
     return _as_text(quality.read_metrics(spark, results))
 
@@ -709,7 +808,7 @@ def gold_day_wise(spark, sf_dir):
     layout = Layout(
         scratch_path(spark, "raw"), scratch_path(spark, "tables"), keep_other_days=True, period="year"
     )
-    cash, _ = cash_and_awards(spark, sf_dir)
+    cash = _together(part for part, _ in cash_parts(spark, sf_dir))
     late = F.col("ingestion_timestamp") >= "1998-05-01"
     wrong = F.when(late, F.lit(1.0)).otherwise(F.col("cash_price"))
     for fares, folder in ((cash.withColumn("cash_price", wrong), "first"), (cash.where(late), "second")):
