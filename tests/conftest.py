@@ -24,6 +24,15 @@ def spark(tmp_path_factory):
     session.stop()
 
 
+@pytest.fixture(autouse=True)
+def shuffle_partitions(request):
+    """The command line sizes the shuffles of its session, which all tests share."""
+    session = request.getfixturevalue("spark") if "spark" in request.fixturenames else None
+    yield
+    if session is not None:
+        session.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.fixture
 def settings(spark):
     """Set session settings for one test."""
